@@ -24,6 +24,23 @@ def with_country_code(
     return coded.drop("_country_name", "_iso_code")
 
 
+def left_join_sparse(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """LEFT join on a key that many left rows lack.
+
+    NULL keys match nothing but would all hash to one task. So the join runs
+    on the key together with a slot number, which spreads the NULL keys by the
+    hash of ``spread_by`` and is zero for all others.
+    """
+    slot = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(4096))).otherwise(0)
+    keyed = left.withColumn("_key", F.struct(F.col(key).alias("key"), slot.alias("slot")))
+    others = (
+        right.where(F.col(key).isNotNull())
+        .withColumn("_key", F.struct(F.col(key).alias("key"), F.lit(0).cast("bigint").alias("slot")))
+        .drop(key)
+    )
+    return keyed.join(others, "_key", "left").drop("_key")
+
+
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child values without a parent, with their number of rows. NULL is no value.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from subtide.functions.dates import month_of
 from subtide.functions.text import company_key
-from subtide.operators.lookups import with_country_code
+from subtide.operators.lookups import left_join_sparse, with_country_code
 
 BRIDGE = ["event_month", "product", "event_type", "company_key"]
 
@@ -75,15 +75,15 @@ def keyed_events(events: DataFrame, countries: DataFrame, suffixes: Sequence[str
     )
 
 
-def bridge(keyed: DataFrame, hub: DataFrame) -> DataFrame:
+def bridge(keyed: DataFrame, hub: DataFrame, spread_by: str = "event_type") -> DataFrame:
     """Attach workspaces by company key.
 
-    A key shared by several workspaces repeats the row for each of them.
+    A key shared by several workspaces repeats the row for each of them. Rows
+    without a key are spread over tasks by ``spread_by``.
     """
     workspaces = hub.select("company_key", "instance_id")
-    return keyed.join(workspaces, "company_key", "left").withColumn(
-        "is_matched", F.col("instance_id").isNotNull()
-    )
+    joined = left_join_sparse(keyed, workspaces, "company_key", spread_by)
+    return joined.withColumn("is_matched", F.col("instance_id").isNotNull())
 
 
 def feature_usage(keyed: DataFrame, hub: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -192,7 +194,7 @@ def annual_cohort_matrix(transactions: DataFrame, licenses: DataFrame, params: R
     cells = []
     for month in params.cohort_months():
         amount = F.sum(F.when(F.col("revenue_month") == F.lit(month), F.col("amount")))
-        cells.append(F.round(amount.cast("double") / 12.0, 2).alias(f"m_{month:%Y_%m}"))
+        cells.append(F.round(amount / F.lit(Decimal(12)), 2).cast("double").alias(f"m_{month:%Y_%m}"))
     return (
         cohort_spread(transactions, licenses, params)
         .groupBy("cohort_month", "addon_key")

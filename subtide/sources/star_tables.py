@@ -268,4 +268,17 @@ def envelopes(rows: DataFrame, table: str) -> DataFrame:
         *PAYLOADS[table], F.lit("spring").alias("campaign_name"), F.lit(0).alias("manual_discount")
     )
     envelope = F.struct(F.struct("extracted_at").alias("metadata"), payload.alias("payload"))
-    return rows.select(F.to_json(envelope).alias("value"), "loaded_at")
+    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    return rows.select(F.to_json(envelope, exact).alias("value"), "loaded_at")
+
+
+def broken_lines(rows: DataFrame) -> DataFrame:
+    """Cut-off lines among the transactions of a delivery."""
+    cut = rows.where(F.col("transaction_id").cast("bigint") % 50 == 7)
+    return cut.select(_text('{"payload":{"transaction_id":"', F.col("transaction_id")).alias("value"))
+
+
+def deliver(lines: DataFrame, folder: str) -> str:
+    """Append JSON lines to a delivery folder as gzip files."""
+    lines.select("value").write.mode("append").option("compression", "gzip").text(folder)
+    return folder
