@@ -24,7 +24,7 @@ from subtide.operators.median import positive_median
 from subtide.plans import customers, marts, quality, reports, staging, subscriptions
 from subtide.plans.build import Warehouse, refresh_staging
 from subtide.plans.staging import CLEAN, stage_landed
-from subtide.session import new_scratch_folder, prepare_session
+from subtide.session import materialized, new_scratch_folder, prepare_session
 from subtide.sources import star_tables
 from subtide.sources.keyed_table import KeyedTable
 from subtide.sources.schemas import CONTRACTS, EVENTS, LICENSES, TRANSACTIONS
@@ -46,9 +46,9 @@ class Feed:
         return star_tables.redelivered(rows, table) if redelivered else rows
 
     def delivered(self, table: str) -> DataFrame:
-        """Landing rows, parsed from the JSON lines of a delivery with copies."""
-        lines = star_tables.envelopes(self.raw(table, redelivered=True), table)
-        return lines.select(F.parse_json("value").alias("raw_data"), "loaded_at")
+        """Landing table, parsed from the JSON lines of a delivery with copies."""
+        lines = materialized(star_tables.envelopes(self.raw(table, redelivered=True), table), "lines")
+        return materialized(lines.select(F.parse_json("value").alias("raw_data"), "loaded_at"), "landing")
 
     @cached_property
     def licenses(self) -> DataFrame:
@@ -111,6 +111,11 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def exact_sum(amount: Column) -> Column:
+    """Sum of a whole table's amounts that no order of its rows can change."""
+    return F.sum(amount.cast("decimal(18,4)")).cast("double")
+
+
 # --- loading -----------------------------------------------------------------
 
 
@@ -162,12 +167,12 @@ def incremental_ingest(feed: Feed) -> DataFrame:
         .groupBy("loaded_at")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum(F.variant_get("raw_data", "$.payload.purchase_price", "double")).alias("price_sum"),
+            exact_sum(F.variant_get("raw_data", "$.payload.purchase_price", "double")).alias("price_sum"),
         )
     )
     # One row per load is left.
     order = F.row_number().over(Window.orderBy("loaded_at")).cast("int")
-    return loads.select(order.alias("load_no"), "n_rows", F.round("price_sum", 2).alias("price_sum"))
+    return loads.select(order.alias("load_no"), "n_rows", "price_sum")
 
 
 def full_refresh(feed: Feed) -> DataFrame:
@@ -183,8 +188,8 @@ def full_refresh(feed: Feed) -> DataFrame:
     staged = refresh_staging(warehouse, source, files[-1], full_refresh=True)
     return staged.groupBy("sale_type").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.round(F.sum("purchase_price"), 2).alias("price_sum"),
-        F.round(F.sum("vendor_amount"), 2).alias("vendor_sum"),
+        exact_sum(F.col("purchase_price")).alias("price_sum"),
+        exact_sum(F.col("vendor_amount")).alias("vendor_sum"),
     )
 
 

@@ -115,11 +115,11 @@ SQL: dict[str, str] = {
         FROM tx WHERE CAST(transaction_id AS BIGINT) % 50 = 7""",
     "incremental_ingest": f"""
         SELECT CASE WHEN sale_date < DATE '2022-01-01' THEN 1 ELSE 2 END AS load_no,
-               count(*) AS n_rows, {rounded('sum(purchase_price)', 2)} AS price_sum
+               count(*) AS n_rows, CAST(sum(CAST(purchase_price AS DECIMAL(18, 4))) AS DOUBLE) AS price_sum
         FROM tx GROUP BY ALL""",
     "full_refresh": f"""
-        SELECT sale_type, count(*) AS n_rows, {rounded('sum(purchase_price)', 2)} AS price_sum,
-               {rounded('sum(vendor_amount)', 2)} AS vendor_sum
+        SELECT sale_type, count(*) AS n_rows, CAST(sum(CAST(purchase_price AS DECIMAL(18, 4))) AS DOUBLE) AS price_sum,
+               CAST(sum(CAST(vendor_amount AS DECIMAL(18, 4))) AS DOUBLE) AS vendor_sum
         FROM tx GROUP BY ALL""",
     "high_water_mark": f"""
         SELECT event_id, {moment('loaded_at')} FROM ev

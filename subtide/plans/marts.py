@@ -17,13 +17,18 @@ from subtide.operators.previous import previous_row
 from subtide.operators.rollups import distinct_over, rows_over
 from subtide.params import ReportParams
 from subtide.plans.subscriptions import SALE_ORDER
+from subtide.session import materialized
 
 CHURN_GRAIN = ["sale_month", "addon_key", "addon_name", "billing_period"]
 ADOPTION_GRAIN = ["event_month", "product", "event_type", "customer_cohort"]
 
 
 def active_customers(mrr: DataFrame) -> DataFrame:
-    """Workspaces with a new or renewed sale, per product and month."""
+    """Workspaces with a new or renewed sale, per product and month.
+
+    The activity is needed three times (rows and two totals), so it is written
+    once; the totals read only their key columns of it.
+    """
     activity = (
         mrr.where(
             F.col("sale_type").isin("NEW", "RENEWAL")
@@ -37,6 +42,7 @@ def active_customers(mrr: DataFrame) -> DataFrame:
             F.max("is_zero_value").alias("has_zero_value_tx"),
         )
     )
+    activity = materialized(activity, "activity")
     per_product = rows_over(activity, ["sale_month", "addon_key"], "active_workspaces_per_product_month")
     return distinct_over(per_product, ["sale_month"], "instance_id", "total_active_workspaces_month")
 
@@ -228,8 +234,12 @@ def engagement_signal(usage: DataFrame, params: ReportParams) -> DataFrame:
 
 
 def customer_health(licenses: DataFrame, mrr: DataFrame, usage: DataFrame, params: ReportParams) -> DataFrame:
-    """Score per workspace from its licenses, revenue and usage."""
-    revenue = revenue_signal(mrr)
+    """Score per workspace from its licenses, revenue and usage.
+
+    The revenue of the last month feeds both the median and the scores, so it
+    is written once.
+    """
+    revenue = materialized(revenue_signal(mrr), "revenue")
     median = positive_median(revenue, "current_mrr", "med_mrr").scalar()
     joined = (
         license_signal(licenses, params)

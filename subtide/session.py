@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Dates are bucketed in the session time zone, so it is pinned. The adaptive
 # settings let Spark split skewed join partitions at run time even when an
@@ -51,3 +51,14 @@ def new_scratch_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="subtide-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a shared step once and read it back.
+
+    Cuts the lineage: the readers start from files that outlive any executor,
+    read only the columns they need, and know the true size of the step.
+    """
+    folder = new_scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -245,17 +245,27 @@ def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redelivered(rows: DataFrame, table: str) -> DataFrame:
-    """The rows with second copies mixed in, as deliveries contain them."""
-    if table == TRANSACTIONS:
-        copies = rows.where(F.col("transaction_id").cast("bigint") % 100 == 3)
-    elif table == EVENTS:
-        copies = rows.where(F.col("event_id").cast("bigint") % 500 == 0)
-    else:
-        older = rows.where(F.col("addon_license_id") % 37 == 0)
-        copies = older.withColumns(
-            {"last_updated": F.col("last_updated") - timedelta(days=10), "status": F.lit("cancelled")}
+    """The rows with second copies mixed in, as deliveries contain them.
+
+    Transactions and events repeat exactly; a repeated license is an older
+    state of it.
+    """
+    again = {
+        TRANSACTIONS: F.col("transaction_id").cast("bigint") % 100 == 3,
+        EVENTS: F.col("event_id").cast("bigint") % 500 == 0,
+        LICENSES: F.col("addon_license_id") % 37 == 0,
+    }[table]
+    copies = F.when(again, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    sent = rows.withColumn("_copy", F.explode(copies))
+    if table == LICENSES:
+        older = F.col("last_updated") - timedelta(days=10)
+        sent = sent.withColumns(
+            {
+                "last_updated": F.when(F.col("_copy"), older).otherwise(F.col("last_updated")),
+                "status": F.when(F.col("_copy"), "cancelled").otherwise(F.col("status")),
+            }
         )
-    return rows.unionByName(copies)
+    return sent.drop("_copy")
 
 
 RAW = {LICENSES: licenses, TRANSACTIONS: transactions, EVENTS: events}
