@@ -297,6 +297,9 @@ READING_ORDER = {
     "mart_mrr_churn": ("-sale_month", "addon_key", "billing_period"),
     "mart_feature_adoption": ("-event_month", "product", "event_type", "customer_cohort"),
     "mart_customer_health": ("-health_score",),
+    "report_active_customers": ("sale_month",),
+    "report_nrr_churn": ("-sale_month",),
+    "report_feature_signal": ("product", "-conversion_signal_ratio"),
 }
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from subtide.operators.latest import latest_per_key
 from subtide.sources.files import read_if_exists
 
 SNAPSHOT = T.StructType(
@@ -37,12 +38,17 @@ class State:
 
 @dataclass
 class KeyedTable:
-    """``buckets`` should give folders of a few hundred MB to one GB each."""
+    """``buckets`` times ``files_per_bucket`` should give files of 0.2 to 1 GB.
+
+    Buckets set how finely a table is rewritten, files how many tasks write
+    one bucket. Keys are unique, so their hash fills both evenly.
+    """
 
     spark: SparkSession
     path: str
     key: str
     buckets: int = 64
+    files_per_bucket: int = 1
     max_parts: int = 16
 
     def read(self) -> DataFrame | None:
@@ -54,9 +60,11 @@ class KeyedTable:
         rows = self.read()
         return None if rows is None else rows.agg(F.max(column)).first()[0]
 
-    def upsert(self, batch: DataFrame, tag: str | None = None) -> None:
+    def upsert(self, batch: DataFrame, tag: str | None = None, newest_by: str | None = None) -> None:
         """Insert or replace by key. ``batch`` holds each key at most once.
 
+        The later arrival wins, whatever it contains; with ``newest_by`` the
+        row with the greater value of that column wins, on a tie the arrival.
         A repeated ``tag`` (the last commit, replayed) is ignored.
         """
         state = self._state()
@@ -87,8 +95,15 @@ class KeyedTable:
             merged_part = f"v{version:08d}_rw"
             new_rows = self._load({bucket: [incoming_part] for bucket in rewrite})
             old_rows = self._load({bucket: known[bucket] for bucket in rewrite})
-            kept = old_rows.join(new_rows.select(self.key), self.key, "left_anti")
-            self._write(kept.unionByName(new_rows).drop("bucket", "part"), merged_part)
+            if newest_by is None:
+                kept = old_rows.join(new_rows.select(self.key), self.key, "left_anti")
+                merged = kept.unionByName(new_rows)
+            else:
+                both = old_rows.withColumn("_arrival", F.lit(0)).unionByName(
+                    new_rows.withColumn("_arrival", F.lit(1))
+                )
+                merged = latest_per_key(both, [self.key], [newest_by, "_arrival"]).drop("_arrival")
+            self._write(merged.drop("bucket", "part"), merged_part)
             live.update({bucket: [merged_part] for bucket in rewrite})
         self._commit(State(version, tag, live))
 
@@ -127,7 +142,7 @@ class KeyedTable:
         bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
         (
             batch.withColumn("bucket", bucket)
-            .repartition("bucket")
+            .repartition("bucket", F.pmod(F.hash(self.key), F.lit(self.files_per_bucket)))
             .write.mode("overwrite")
             .partitionBy("bucket")
             .parquet(folder)

@@ -78,6 +78,13 @@ def test_empty_batch_and_overwrite(spark, folder):
     assert contents(table) == [("z", 26)]
 
 
+def test_newest_row_wins_on_request(spark, folder):
+    table = KeyedTable(spark, folder, "k", buckets=2, files_per_bucket=2)
+    table.upsert(frame(spark, [("a", 5), ("b", 5), ("c", 5)]))
+    table.upsert(frame(spark, [("a", 1), ("b", 9), ("d", 1)]), newest_by="v")
+    assert contents(table) == [("a", 5), ("b", 9), ("c", 5), ("d", 1)]
+
+
 def write_lines(path, lines):
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with gzip.open(path, "wt") as out:
