@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import cached_property, reduce
+from functools import cached_property, lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +38,7 @@ class Feed:
     """Cleaned sources and shared models of one data folder, all lazy."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = prepare_session(spark)
+        self.spark = spark
         self.sf_dir = sf_dir
 
     def raw(self, table: str, redelivered: bool = False) -> DataFrame:
@@ -393,8 +393,14 @@ QUERIES: dict[str, Callable[[Feed], DataFrame]] = {
 }
 
 
+@lru_cache(maxsize=4)
+def _feed(spark: SparkSession, sf_dir: str) -> Feed:
+    """One set of lazy frames per folder: plans are shared, no rows are kept."""
+    return Feed(spark, sf_dir)
+
+
 def _registered(run: Callable[[Feed], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: comparable(run(Feed(spark, sf_dir)))
+    return lambda spark, sf_dir: comparable(run(_feed(prepare_session(spark), sf_dir)))
 
 
 def entry(spark: SparkSession) -> DataFrame:
