@@ -4,9 +4,11 @@ Layout under the landing folder of a source::
 
     rows/generation=G/load_id=N/valid=true|false/*.parquet
     progress/generation=G/                     (stream checkpoint)
+    generations/*.json                         (finished refreshes)
 
-A full refresh starts the next generation, whose empty checkpoint makes it
-read every file again. The source files are never touched.
+A full refresh fills the next generation, whose empty checkpoint makes it read
+every file again. Readers move on to it only when it is complete; a refresh
+that failed is resumed by the next one. The source files are never touched.
 """
 
 from __future__ import annotations
@@ -23,11 +25,11 @@ from subtide.sources.schemas import LANDING
 STORED = T.StructType(
     [
         *LANDING.fields,
-        T.StructField("generation", T.IntegerType()),
         T.StructField("load_id", T.LongType()),
         T.StructField("valid", T.BooleanType()),
     ]
 )
+GENERATION = T.StructType([T.StructField("generation", T.IntegerType())])
 
 
 def parse_lines(lines: DataFrame, loaded_at: datetime) -> DataFrame:
@@ -51,13 +53,9 @@ def read_lines(spark: SparkSession, files: str) -> DataFrame:
     return spark.read.text(files).select("value", F.col("_metadata.file_path").alias("file_name"))
 
 
-def _stored(spark: SparkSession, landing: str) -> DataFrame | None:
-    return read_if_exists(spark, f"{landing}/rows", "parquet", STORED)
-
-
 def current_generation(spark: SparkSession, landing: str) -> int:
-    stored = _stored(spark, landing)
-    newest = None if stored is None else stored.agg(F.max("generation")).first()[0]
+    finished = read_if_exists(spark, f"{landing}/generations", "json", GENERATION)
+    newest = None if finished is None else finished.agg(F.max("generation")).first()[0]
     return 0 if newest is None else newest
 
 
@@ -93,15 +91,18 @@ def land_files(
         .start()
     )
     load.awaitTermination()
+    if full_refresh:
+        finished = spark.createDataFrame([(generation,)], GENERATION)
+        finished.coalesce(1).write.mode("append").json(f"{landing}/generations")
     return generation
 
 
 def _rows(spark: SparkSession, landing: str, valid: bool, columns: list[str]) -> DataFrame:
-    stored = _stored(spark, landing)
+    folder = f"{landing}/rows/generation={current_generation(spark, landing)}"
+    stored = read_if_exists(spark, folder, "parquet", STORED)
     if stored is None:
-        return spark.createDataFrame([], STORED).select(*columns)
-    newest = stored.agg(F.max("generation").alias("generation")).first()[0]
-    return stored.where((F.col("generation") == newest) & (F.col("valid") == valid)).select(*columns)
+        stored = spark.createDataFrame([], STORED)
+    return stored.where(F.col("valid") == valid).select(*columns)
 
 
 def landed(spark: SparkSession, landing: str, after: datetime | None = None) -> DataFrame:

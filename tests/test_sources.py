@@ -3,7 +3,7 @@ import json
 import os
 
 import pytest
-from pyspark.errors import SparkRuntimeException
+from pyspark.errors import SparkRuntimeException, StreamingQueryException
 
 from subtide.plans.staging import extract, stage_landed
 from subtide.sources import seeds
@@ -119,9 +119,29 @@ def test_landing_loads_each_file_once_and_keeps_broken_lines_apart(spark, folder
     assert land_files(spark, files, landing, full_refresh=True) == 1
     assert current_generation(spark, landing) == 1
     assert ids(landed(spark, landing)) == ["a", "b", "c"]
+    write_lines(f"{files}/3.jsonl.gz", [line("d")])
+    assert land_files(spark, files, landing) == 1
+    assert ids(landed(spark, landing)) == ["a", "b", "c", "d"]
     assert os.path.exists(f"{files}/1.jsonl.gz")
 
 
+def test_a_refresh_that_fails_is_not_seen_and_is_resumed(spark, folder, monkeypatch):
+    files, landing = f"{folder}/in", f"{folder}/landing"
+    write_lines(f"{files}/1.jsonl.gz", [line("a")])
+    land_files(spark, files, landing)
+    write_lines(f"{files}/2.jsonl.gz", [line("b")])
+
+    def fail(lines, loaded_at):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch, pytest.raises(StreamingQueryException):
+        patch.setattr("subtide.streaming.landing.parse_lines", fail)
+        land_files(spark, files, landing, full_refresh=True)
+    assert current_generation(spark, landing) == 0 and ids(landed(spark, landing)) == ["a"]
+    assert land_files(spark, files, landing, full_refresh=True) == 1
+    assert ids(landed(spark, landing)) == ["a", "b"]
+
+
 def test_landing_of_nothing(spark, folder):
     assert landed(spark, f"{folder}/none").count() == 0
     assert current_generation(spark, f"{folder}/none") == 0
