@@ -24,12 +24,15 @@ def with_country_code(
     return coded.drop("_country_name", "_iso_code")
 
 
-def left_join_sparse(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
-    """LEFT join on a key that many left rows lack.
-
-    NULL keys match nothing but would all hash to one task. So the join runs
-    on the key together with a slot number, which spreads the NULL keys by the
-    hash of ``spread_by`` and is zero for all others.
+def left_join_split(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """LEFT join for keys that repeat or are missing very often, on either side.
+
+    Spark splits a hot key on both sides of an inner join, but only on the
+    left of a LEFT join. So matches come from an inner join, and the other
+    left rows from an anti join against the distinct right keys. NULL keys
+    match nothing but would all hash to one task; a slot number joined along
+    with the key spreads them by the hash of ``spread_by``. The left side is
+    shuffled once for both joins.
     """
     slot = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(4096))).otherwise(0)
     keyed = left.withColumn("_key", F.struct(F.col(key).alias("key"), slot.alias("slot")))
@@ -38,7 +41,9 @@ def left_join_sparse(left: DataFrame, right: DataFrame, key: str, spread_by: str
         .withColumn("_key", F.struct(F.col(key).alias("key"), F.lit(0).cast("bigint").alias("slot")))
         .drop(key)
     )
-    return keyed.join(others, "_key", "left").drop("_key")
+    matched = keyed.join(others, "_key")
+    alone = keyed.join(others.select("_key").distinct(), "_key", "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True).drop("_key")
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

@@ -25,17 +25,25 @@ SOURCES = {
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Where the tables live. ``buckets`` sizes the three cleaned tables."""
+    """Where the tables live.
+
+    ``buckets`` and ``files_per_bucket`` size the three cleaned tables;
+    ``max_files_per_trigger`` cuts a large load into micro-batches, which are
+    what a failed load repeats.
+    """
 
     spark: SparkSession
     root: str
     buckets: int = 64
+    files_per_bucket: int = 1
+    max_files_per_trigger: int | None = None
 
     def landing(self, source: str) -> str:
         return f"{self.root}/RAW/{source}_raw"
 
     def staging(self, table: str) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.root}/STAGING/{table}", KEYS[table], self.buckets)
+        path = f"{self.root}/STAGING/{table}"
+        return KeyedTable(self.spark, path, KEYS[table], self.buckets, self.files_per_bucket)
 
 
 def refresh_staging(warehouse: Warehouse, source: str, files: str, full_refresh: bool = False) -> DataFrame:
@@ -43,7 +51,13 @@ def refresh_staging(warehouse: Warehouse, source: str, files: str, full_refresh:
     table = SOURCES[source]
     staging = warehouse.staging(table)
     landing = warehouse.landing(source)
-    land_files(warehouse.spark, files, landing, full_refresh=full_refresh)
+    land_files(
+        warehouse.spark,
+        files,
+        landing,
+        full_refresh=full_refresh,
+        max_files_per_trigger=warehouse.max_files_per_trigger,
+    )
     if full_refresh:
         generation = current_generation(warehouse.spark, landing)
         staging.overwrite(stage_landed(landed(warehouse.spark, landing), table), f"refresh-{generation}")

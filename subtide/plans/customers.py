@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from subtide.functions.dates import month_of
 from subtide.functions.text import company_key
-from subtide.operators.lookups import left_join_sparse, with_country_code
+from subtide.operators.lookups import left_join_split, with_country_code
 
 BRIDGE = ["event_month", "product", "event_type", "company_key"]
 
@@ -82,7 +82,7 @@ def bridge(keyed: DataFrame, hub: DataFrame, spread_by: str = "event_type") -> D
     without a key are spread over tasks by ``spread_by``.
     """
     workspaces = hub.select("company_key", "instance_id")
-    joined = left_join_sparse(keyed, workspaces, "company_key", spread_by)
+    joined = left_join_split(keyed, workspaces, "company_key", spread_by)
     return joined.withColumn("is_matched", F.col("instance_id").isNotNull())
 
 

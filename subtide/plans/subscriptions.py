@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from subtide.functions.dates import month_after, month_of
 from subtide.functions.revenue import is_renewal_gap, monthly_amount
+from subtide.operators.lookups import left_join_split
 from subtide.operators.previous import previous_row
 from subtide.operators.spread import month_spread
 from subtide.params import ReportParams
@@ -115,7 +116,9 @@ def trial_lifecycle(licenses: DataFrame, transactions: DataFrame, params: Report
     )
     converted = F.col("commercial_license_id").isNotNull()
     over = F.col("eval_end_date") < F.lit(params.as_of)
-    return trials.join(conversions, "eval_license_id", "left").select(
+    # Nothing keeps several licenses from naming one trial.
+    joined = left_join_split(trials, conversions, "eval_license_id", spread_by="instance_id")
+    return joined.select(
         *trials.columns,
         "commercial_license_id",
         "commercial_start_date",

@@ -5,7 +5,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import functions as F
 
 from subtide.operators.latest import latest_per_key, top_k_per_group
-from subtide.operators.lookups import left_join_sparse, orphans, with_country_code
+from subtide.operators.lookups import left_join_split, orphans, with_country_code
 from subtide.operators.median import positive_median
 from subtide.operators.previous import previous_row
 from subtide.operators.rollups import distinct_over, rows_over
@@ -119,12 +119,15 @@ def test_top_k(spark):
     assert sorted((r.g, r.rn, r.e) for r in best.collect()) == [("p", 1, "b"), ("p", 2, "d"), ("p", 3, "a"), ("q", 1, "e")]
 
 
-def test_sparse_join_keeps_rows_without_key(spark):
-    left = spark.createDataFrame([(i, "x" if i % 3 == 0 else None) for i in range(30)], "id int, k string")
-    right = spark.createDataFrame([("x", 1), ("x", 2), (None, 3)], "k string, w int")
-    rows = left_join_sparse(left, right, "k", "id").collect()
-    assert len(rows) == 10 * 2 + 20
-    assert {(r.k, r.w) for r in rows} == {("x", 1), ("x", 2), (None, None)}
+def test_split_join_equals_a_left_join(spark):
+    rng = random.Random(5)
+    keys = ["hot", "hot", "a", "b", "left only", None, None]
+    left = spark.createDataFrame([(i, rng.choice(keys)) for i in range(300)], "id int, k string")
+    right = spark.createDataFrame(
+        [("hot", w) for w in range(40)] + [("a", 1), ("b", 2), ("right only", 3), (None, 4)], "k string, w int"
+    )
+    rows = lambda df: sorted(map(str, df.select("id", "k", "w").collect()))
+    assert rows(left_join_split(left, right, "k", "id")) == rows(left.join(right, "k", "left"))
 
 
 def test_orphans_and_country(spark):
