@@ -34,7 +34,9 @@ def left_join_split(left: DataFrame, right: DataFrame, key: str, spread_by: str)
     with the key spreads them by the hash of ``spread_by``. The left side is
     shuffled once for both joins.
     """
-    slot = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(4096))).otherwise(0)
+    slot = F.when(F.col(key).isNull(), F.coalesce(F.pmod(F.xxhash64(spread_by), F.lit(4096)), F.lit(0))).otherwise(
+        F.lit(0)
+    ).cast("bigint")
     keyed = left.withColumn("_key", F.struct(F.col(key).alias("key"), slot.alias("slot")))
     others = (
         right.where(F.col(key).isNotNull())
