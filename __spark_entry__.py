@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import cached_property, lru_cache, reduce
+from importlib.util import find_spec
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -408,9 +409,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["report_nrr_churn"](spark, "/root/testdata/sf0.001")
 
 
+def _text_operators() -> tuple[dict[str, Callable], dict[str, str]]:
+    """Queries and SQL of the subpackage for text corpora and of its pipeline, where they are installed."""
+    if find_spec("subtide.llm") is None:
+        return {}, {}
+    from subtide.llm import queries as text_queries
+
+    runs, sql = dict(text_queries.QUERIES), dict(text_queries.oracle_sql())
+    if find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        runs["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {name: _prepared(run) for name, run in runs.items()}, sql
+
+
+def _prepared(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: run(prepare_session(spark), sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _registered(run) for name, run in QUERIES.items()}
+    return {name: _registered(run) for name, run in QUERIES.items()} | _text_operators()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle_sql()
+    return _oracle_sql() | _text_operators()[1]
