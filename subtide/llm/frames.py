@@ -124,15 +124,25 @@ def held_out(id_column: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, text_column: str, id_column: str) -> DataFrame:
-    """``text, label`` of at most ``rows`` labelled documents outside the held-out part.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, rows: int, text_column: str, id_column: str
+) -> tuple[list[bytes], list[int]]:
+    """Texts and labels of at most ``rows`` labelled documents outside the held-out part, in order of id.
 
     The bound is that of the training set alone: the rows with the smallest
-    hash of the id. Documents without a label or an id are left out.
+    hash of the id. Documents without a label or an id are left out; of repeated
+    ids one row counts.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull() & ~held_out(id_column)).select(
         F.col(id_column).alias("_id"), F.col(label).cast("int").alias("_label")
     )
-    known = known.dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    texts = docs.select(F.col(id_column).alias("_id"), F.coalesce(text_column, F.lit("")).alias("_text"))
-    return texts.join(known, "_id").select(F.col("_id"), F.col("_text"), F.col("_label"))
+    known = known.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
+    texts = docs.select(F.col(id_column).alias("_id"), F.coalesce(text_column, F.lit("")).cast("binary").alias("_text"))
+    # The broadcast side has at most ``rows`` ids and labels.
+    found = {(row[0], bytes(row[1])): row[2] for row in texts.join(F.broadcast(known), "_id").toLocalIterator()}
+    chosen, last = [], None
+    for (name, text), y in sorted(found.items()):
+        if name != last:
+            chosen.append((text, y))
+        last = name
+    return [text for text, _ in chosen], [y for _, y in chosen]

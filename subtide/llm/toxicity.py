@@ -9,6 +9,7 @@ each language, which is guessed from function words of the text itself.
 from __future__ import annotations
 
 import zlib
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from subtide.llm.frames import append_columns, bytes_of, filter_rows, labelled_sample
 
 #: Labelled documents that the network is trained and calibrated on.
-SAMPLE_ROWS = 16_000
+SAMPLE_ROWS = 12_000
 #: An embedding is made of two halves, each found by a hash of its own.
 BUCKETS, HALF, WIDTHS, FILTERS = 1 << 16, 4, (1, 2, 3), 4
 SIZE, PAD = 2 * HALF, WIDTHS[-1] - 1
@@ -62,15 +63,21 @@ class Words(dict):
     """Number of each word, with its hashes and language; number 0 is the empty place after a text."""
 
     def __init__(self):
-        self.hash = [(0, 0)]
-        self.language = [len(FUNCTION_WORDS)]
+        self.first, self.second = array("i", [0]), array("i", [0])
+        self.language = array("b", [len(FUNCTION_WORDS)])
 
     def __missing__(self, word):
-        code = self[word] = len(self.hash)
-        self.hash.append(hashes(word))
+        code = self[word] = len(self.language)
+        first, second = hashes(word)
+        self.first.append(first)
+        self.second.append(second)
         self.language.append(language_of(word))
         return code
 
+    def pairs(self, start: int = 0) -> np.ndarray:
+        """Both hashes of the words from number ``start`` on."""
+        return np.stack([np.array(self.first[start:]), np.array(self.second[start:])], axis=1)
+
     def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Codes of all texts, each followed by empty places, and where each text begins (and the end)."""
         codes, begins = [], [0]
@@ -119,21 +126,27 @@ class Scorer:
         self.answers = [np.zeros(1, np.float32) for width in WIDTHS for _ in range(width * FILTERS)]
 
     def _learn(self) -> None:
-        new = slice(len(self.language), len(self.words.hash))
-        if new.start == new.stop:
+        known = len(self.language)
+        if known == len(self.words.language):
             return
-        self.language = np.append(self.language, self.words.language[new])
-        vectors = self.net.vectors(np.array(self.words.hash[new]))
+        self.language = np.append(self.language, self.words.language[known:])
+        vectors = self.net.vectors(self.words.pairs(known))
         added = np.concatenate([vectors @ part for w in self.net.filters for part in w], axis=1)
         self.answers = [np.append(old, column) for old, column in zip(self.answers, added.T)]
 
-    def logits(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Logit and language of each text."""
+    def score(self, texts: list[bytes]) -> np.ndarray:
+        """Scores from 0 to 1; the threshold of the text's language has score one half."""
+        if not texts:
+            return np.empty(0)
         if len(self.words) > MEMORY:
             self.forget()
-        codes, begins = self.words.read(texts)
+        z, language = self.logits(*self.words.read(texts))
+        return 1 / (1 + np.exp(-np.clip(z - self.net.thresholds[language], -30, 30)))
+
+    def logits(self, codes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logit and language of each text, given as ``Words.read`` gives them."""
         self._learn()
-        best = np.empty((len(texts), FILTERS * len(WIDTHS)), np.float32)
+        best = np.empty((len(begins) - 1, FILTERS * len(WIDTHS)), np.float32)
         column = 0
         for n, width in enumerate(WIDTHS):
             for f in range(FILTERS):
@@ -145,13 +158,6 @@ class Scorer:
             column += width * FILTERS
         return self.net.output(best).astype(np.float64), languages(self.language[codes], begins)
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """Scores from 0 to 1; the threshold of the text's language has score one half."""
-        if not texts:
-            return np.empty(0)
-        z, language = self.logits(texts)
-        return 1 / (1 + np.exp(-np.clip(z - self.net.thresholds[language], -30, 30)))
-
 
 class Adam:
     def __init__(self):
@@ -165,9 +171,8 @@ class Adam:
 
 
 def _train_batch(net: Network, docs: list[np.ndarray], y: np.ndarray, importance: np.ndarray, adam: Adam) -> None:
-    """One step. ``docs``: the hash pairs of each text; only the words of the largest answers learn."""
-    pairs = np.concatenate([x for doc in docs for x in (doc, np.zeros((PAD, 2), np.int64))])
-    ends = np.cumsum([len(doc) + PAD for doc in docs])
+    """One step. ``docs``: the hash pairs of each text and the empty places; only the words of the largest answers learn."""
+    pairs, ends = np.concatenate(docs), np.cumsum([len(doc) for doc in docs])
     vectors = net.vectors(pairs)
     for place in range(1, PAD + 1):
         vectors[ends - place] = 0
@@ -219,12 +224,12 @@ def _threshold(z: np.ndarray, y: np.ndarray) -> float:
     return float((upper + lower) / 2)
 
 
-def _log_odds(docs: list[np.ndarray], y: np.ndarray, half: int) -> np.ndarray:
+def _log_odds(docs: list[np.ndarray], bucket: np.ndarray, y: np.ndarray) -> np.ndarray:
     """How much more often than usual documents with a bucket are toxic."""
     share = y.mean()
     seen, toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for pairs, label in zip(docs, y):
-        own = np.unique(pairs[:, half])
+    for codes, label in zip(docs, y):
+        own = np.unique(bucket[codes[:-PAD]])
         seen[own] += 1
         toxic[own] += label
     rate = (toxic + PRIOR * share) / (seen + PRIOR)
@@ -247,16 +252,17 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Network:
     if not (y == 1).any() or not (y == 0).any():
         net.weights[:], net.embedding[:] = 0, 0
         return net
-    words = Words()
-    codes, begins = words.read(texts)
-    pairs = np.array(words.hash)
-    docs = [pairs[codes[a : b - PAD]] for a, b in zip(begins, begins[1:])]
+    words, docs = Words(), []
+    for text in texts:
+        codes, _ = words.read([text])
+        docs.append(codes.astype(np.int32))
+    pairs = words.pairs()
     order = rng.permutation(len(docs))
     n_held = int(len(docs) * CALIBRATION) if y.sum() >= 100 else 0
     held, used = order[:n_held], order[n_held:]
     # The first number of each half starts from the labels, and the first filters read it.
     for half in (0, 1):
-        net.embedding[half][:, 0] = _log_odds([docs[d] for d in used], y[used], half)
+        net.embedding[half][:, 0] = _log_odds([docs[d] for d in used], pairs[:, half], y[used])
     for w in net.filters:
         w[:, ::HALF, : FILTERS // 2] = 0.5 / len(w)
     importance = np.where(y == 1, min(5.0, float((y == 0).sum() / y.sum()) ** 0.5), 1.0)
@@ -266,12 +272,15 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Network:
         order = rng.permutation(used)
         for at in range(0, len(order), BATCH):
             some = order[at : at + BATCH]
-            _train_batch(net, [docs[d] for d in some], y[some], importance[some], adam)
+            _train_batch(net, [pairs[docs[d]] for d in some], y[some], importance[some], adam)
             # Words that no label speaks for fade, so that long texts of new words stay neutral.
             net.embedding[:, :, 1:] *= 1 - FADE
     judged = held if n_held and y[held].any() and not y[held].all() else used
-    scorer = Scorer(net)
-    parts = [scorer.logits([texts[d] for d in judged[at : at + 500]]) for at in range(0, len(judged), 500)]
+    scorer, parts = Scorer(net), []
+    scorer.words = words
+    for at in range(0, len(judged), 500):
+        some = [docs[d] for d in judged[at : at + 500]]
+        parts.append(scorer.logits(np.concatenate(some), np.cumsum([0, *map(len, some)])))
     z, language = (np.concatenate([part[n] for part in parts]) for n in (0, 1))
     net.thresholds[:] = _threshold(z, y[judged])
     for n in range(len(LANGUAGES)):
@@ -283,8 +292,7 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Network:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, text_column: str = "text", id_column: str = "doc_id") -> Network:
     """Fit on at most ``rows`` labelled documents outside the held-out fifth."""
-    sample = labelled_sample(docs, labels, "toxic", rows, text_column, id_column).orderBy("_id", "_text").collect()
-    return fit([row["_text"].encode() for row in sample], [row["_label"] for row in sample])
+    return fit(*labelled_sample(docs, labels, "toxic", rows, text_column, id_column))
 
 
 SCORE = [T.StructField("score", T.DoubleType(), False), T.StructField("predicted", T.IntegerType(), False)]
