@@ -46,8 +46,9 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.token_file_folder(spark)
     token_files.write_token_files(table(spark, sf_dir, "documents"), TOKENIZER, folder, END_ID)
-    files = token_files.with_starts(token_files.with_checksums(token_files.read_token_files(spark, folder)))
-    return files.select("doc_id", "start", "n_tokens", "ids_crc32")
+    files = token_files.read_token_files(spark, folder)
+    rows = token_files.with_starts(token_files.with_checksums(files), files)
+    return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from subtide.llm.bpe import ByteBPE
-from subtide.llm.frames import append_columns, prepare_workers, texts_of
+from subtide.llm.frames import append_columns, prepare_workers, ragged, texts_of
 from subtide.session import new_scratch_folder
 
 ENCODINGS = {
@@ -29,6 +29,9 @@ ENCODINGS = {
     "delta": {"parquet.enable.dictionary": "false", "parquet.writer.version": "v2"},
 }
 
+#: Pre-tokens that the library gets as one text.
+JOINED = 500
+
 FIELDS = [
     T.StructField("n_tokens", T.LongType(), False),
     T.StructField("part_start", T.LongType(), False),
@@ -46,12 +49,27 @@ class LibraryBPE(ByteBPE):
         self.library.no_padding()
 
     def _learn_pieces(self) -> None:
+        """Pre-tokens that begin with a space and go on with letters stay apart in one text, so many go in at once."""
         new, self.pieces.new = self.pieces.new, []
-        for at in range(0, len(new), 20_000):
-            some = self.library.encode_batch_fast(new[at : at + 20_000], add_special_tokens=False)
-            lists = [encoding.ids for encoding in some]
-            ids = np.array([i for ids in lists for i in ids], np.int32)
-            self.piece_ids.add(ids, np.array([len(ids) for ids in lists], np.int64))
+        plain = np.array([piece[1:].isalpha() and piece[0] == " " for piece in new], bool)
+        words = [new[n] for n in np.flatnonzero(plain).tolist()]
+        others = [new[n] for n in np.flatnonzero(~plain).tolist()]
+        ids, lengths = [], np.zeros(len(new), np.int64)
+        joined = ["".join(words[at : at + JOINED]) for at in range(0, len(words), JOINED)]
+        counts = []
+        for n, encoding in enumerate(self.library.encode_batch(joined, add_special_tokens=False)):
+            ids.append(np.array(encoding.ids, np.int32))
+            counts.append(np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(words[n * JOINED : (n + 1) * JOINED])))
+        if counts:
+            lengths[plain] = np.concatenate(counts)
+        lists = [encoding.ids for encoding in self.library.encode_batch_fast(others, add_special_tokens=False)]
+        lengths[~plain] = [len(own) for own in lists]
+        ids.append(np.array([i for own in lists for i in own], np.int32))
+        # Both kinds stand one after the other; put them back in the order of the pieces.
+        flat, order = np.concatenate(ids), np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        starts = np.empty(len(new), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        self.piece_ids.add(flat[ragged(starts, lengths)], lengths)
 
 
 @lru_cache(maxsize=2)
@@ -107,13 +125,16 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(folder)
 
 
-def with_starts(files: DataFrame) -> DataFrame:
-    """Add ``start``, the number of ids of all documents before: one sum per written part, added up."""
+def with_starts(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Add to rows of ``files`` the ``start``, the number of ids of all documents before.
+
+    Sums per written part come from the length column of the files alone.
+    """
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"))
     before = F.sum("part_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     # One row per part is left for the window.
     parts = parts.select("part", F.coalesce(before, F.lit(0)).alias("before"))
-    return files.join(parts, "part").withColumn("start", F.col("before") + F.col("part_start")).drop("before")
+    return rows.join(parts, "part").withColumn("start", F.col("before") + F.col("part_start")).drop("before")
 
 
 def with_checksums(files: DataFrame) -> DataFrame:
