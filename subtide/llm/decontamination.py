@@ -35,6 +35,9 @@ FIELDS = [
     SPANS,
 ]
 
+#: Names of what the blocks before have found, while the next one is searched.
+EARLIER = {"items": "_earlier_items", "spans": "_earlier_spans"}
+
 
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(_TO_WORDS).split()
@@ -232,8 +235,9 @@ def find_spans(
     for automaton in _or_empty(automata(items, window, block_words, text_column, id_column), window):
         shared = sc.broadcast(automaton)
         before = out is not None
-        source = materialized(out, "spans") if before else docs
-        out = append_columns(source, text_column, FIELDS, _start(shared, text_column, before), _kept(source, keep, text_column))
+        source = materialized(out, "spans").withColumnsRenamed(EARLIER) if before else docs
+        kept = _kept(keep, text_column, before)
+        out = append_columns(source, text_column, FIELDS, _start(shared, text_column, before), kept).drop(*EARLIER.values())
     return out if keep is None or text_column in keep else out.drop(text_column)
 
 
@@ -246,8 +250,8 @@ def _or_empty(blocks: Iterator[Automaton], window: int) -> Iterator[Automaton]:
         yield Automaton([], window)
 
 
-def _kept(source: DataFrame, keep: list[str] | None, text_column: str) -> list[str] | None:
-    return None if keep is None else [*keep, text_column]
+def _kept(keep: list[str] | None, text_column: str, before: bool) -> list[str] | None:
+    return None if keep is None else [*keep, text_column, *(EARLIER.values() if before else ())]
 
 
 def _start(shared, text_column: str, before: bool):
@@ -259,8 +263,8 @@ def _start(shared, text_column: str, before: bool):
         def compute(batch):
             counts, names, spans = scan(batch)
             if before:
-                names = [n | set(old) for n, old in zip(names, batch.column("items").to_pylist())]
-                old_spans = batch.column("spans").to_pylist()
+                names = [n | set(old) for n, old in zip(names, batch.column(EARLIER["items"]).to_pylist())]
+                old_spans = batch.column(EARLIER["spans"]).to_pylist()
                 spans = [s + [(o["first"], o["last"]) for o in old] for s, old in zip(spans, old_spans)]
             spans = [_merge_spans(s) for s in spans]
             hits = [sum(last - first + 1 for first, last in s) for s in spans]
