@@ -54,10 +54,9 @@ def trial_conversion(expired: str) -> str:
 
 
 COHORT_CELLS = ", ".join(
-    f"CAST(round(CAST(sum(amount) FILTER (WHERE revenue_month = DATE '{y}-{m:02d}-01') / 12.0 AS DECIMAL(30, 6)), 2) "
-    f"AS DOUBLE) AS m_{y}_{m:02d}"
-    for y in (2021, 2022, 2023)
-    for m in range(1, 13)
+    f"CAST(round(CAST(sum(amount) FILTER (WHERE revenue_month = DATE '{i // 12}-{i % 12 + 1:02d}-01') / 12.0 "
+    f"AS DECIMAL(30, 6)), 2) AS DOUBLE) AS m_{i // 12}_{i % 12 + 1:02d}"
+    for i in range(2017 * 12 + 6, 2017 * 12 + 6 + 92)
 )
 
 NOT_NULL = {

@@ -46,9 +46,9 @@ TABLES: dict[str, str] = {}
 TABLES["sold"] = """
     SELECT o_orderkey AS order_id, o_custkey AS cust,
            CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS p,
-           CAST(CAST(o_orderdate AS DATE) + INTERVAL 23 YEAR AS DATE) AS sale_date,
+           CAST(o_orderdate AS DATE) + 8247 AS sale_date,
            o_totalprice AS amount
-    FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '2001-03-01'"""
+    FROM orders"""
 
 TABLES["numbered"] = """
     SELECT *, row_number() OVER (PARTITION BY cust, p ORDER BY sale_date, order_id) AS rn FROM sold"""
@@ -249,7 +249,7 @@ TABLES["spread"] = f"""
     SELECT cohort_month, addon_key, instance_id, txn_month,
            CAST(cohort_month + to_months(CAST(k AS INTEGER)) AS DATE) AS revenue_month,
            CAST(purchase_price AS DECIMAL(18, 4)) AS amount
-    FROM annual JOIN acquired USING (instance_id, addon_key), range(36) AS periods(k)
+    FROM annual JOIN acquired USING (instance_id, addon_key), range(92) AS periods(k)
     WHERE k >= {month_index('txn_month')} - {month_index('cohort_month')}
       AND k < {month_index('txn_month')} - {month_index('cohort_month')} + 12"""
 

@@ -11,11 +11,13 @@ from pyspark.sql.window import Window
 
 
 def row_fingerprint(df: DataFrame) -> Column:
-    """Hash of a row's comparable columns, the last tie-breaker of an ordering."""
-    comparable = [
-        field.name for field in df.schema.fields if not isinstance(field.dataType, (T.VariantType, T.MapType))
-    ]
-    return F.xxhash64(*comparable)
+    """Hash of all columns of a row, the last tie-breaker of an ordering; variants and maps count as JSON text."""
+    return F.xxhash64(
+        *(
+            F.to_json(field.name) if isinstance(field.dataType, (T.VariantType, T.MapType)) else F.col(field.name)
+            for field in df.schema.fields
+        )
+    )
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from subtide.sources.keyed_table import KeyedTable
 from subtide.sources.layers import register_table, write_table
 from subtide.sources.schemas import EVENTS, KEYS, LICENSES, TRANSACTIONS
 from subtide.sources.seeds import suffix_list
-from subtide.streaming.landing import current_generation, land_files, landed
+from subtide.streaming.landing import current_generation, land_files, landed, last_load
 
 # Folder of every source under the raw folder, and its cleaned table.
 SOURCES = {
@@ -58,12 +58,16 @@ def refresh_staging(warehouse: Warehouse, source: str, files: str, full_refresh:
         full_refresh=full_refresh,
         max_files_per_trigger=warehouse.max_files_per_trigger,
     )
+    # The mark is the last load that was taken over, not one of the rows that survived deduplication.
+    position = (current_generation(warehouse.spark, landing), last_load(warehouse.spark, landing))
     if full_refresh:
-        generation = current_generation(warehouse.spark, landing)
-        staging.overwrite(stage_landed(landed(warehouse.spark, landing), table), f"refresh-{generation}")
+        rows = landed(warehouse.spark, landing, loads=(-1, position[1]))
+        staging.overwrite(stage_landed(rows, table), f"refresh-{position[0]}", position)
     else:
-        mark = staging.high_water_mark()
-        staging.upsert(stage_landed(landed(warehouse.spark, landing, after=mark), table))
+        done = staging.position()
+        taken = done[1] if done is not None and done[0] == position[0] else -1
+        rows = landed(warehouse.spark, landing, loads=(taken, position[1]))
+        staging.upsert(stage_landed(rows, table), position=position)
     return staging.read()
 
 

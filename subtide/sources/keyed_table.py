@@ -24,6 +24,9 @@ SNAPSHOT = T.StructType(
         T.StructField("tag", T.StringType()),
         T.StructField("bucket", T.IntegerType()),
         T.StructField("part", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("generation", T.IntegerType()),
+        T.StructField("load_id", T.LongType()),
         T.StructField("version", T.IntegerType()),
     ]
 )
@@ -34,6 +37,8 @@ class State:
     version: int = 0
     tag: str | None = None
     live: dict[int, list[str]] = field(default_factory=dict)
+    buckets: int | None = None
+    position: tuple[int, int] | None = None
 
 
 @dataclass
@@ -41,7 +46,10 @@ class KeyedTable:
     """``buckets`` times ``files_per_bucket`` should give files of 0.2 to 1 GB.
 
     Buckets set how finely a table is rewritten, files how many tasks write
-    one bucket. Keys are unique, so their hash fills both evenly.
+    one bucket. Keys are unique, so their hash fills both evenly. The number
+    of buckets belongs to the written table: upserts keep the one it has, and
+    ``overwrite`` or ``rebucket`` bring in another. A bucket that has
+    ``max_parts`` folders is rewritten into one by the next upsert.
     """
 
     spark: SparkSession
@@ -60,20 +68,33 @@ class KeyedTable:
         rows = self.read()
         return None if rows is None else rows.agg(F.max(column)).first()[0]
 
-    def upsert(self, batch: DataFrame, tag: str | None = None, newest_by: str | None = None) -> None:
+    def position(self) -> tuple[int, int] | None:
+        """Generation and load that the last commit reached in the landing of its source."""
+        return self._state().position
+
+    def upsert(
+        self,
+        batch: DataFrame,
+        tag: str | None = None,
+        newest_by: str | None = None,
+        position: tuple[int, int] | None = None,
+    ) -> None:
         """Insert or replace by key. ``batch`` holds each key at most once.
 
         The later arrival wins, whatever it contains; with ``newest_by`` the
         row with the greater value of that column wins, on a tie the arrival.
-        A repeated ``tag`` (the last commit, replayed) is ignored.
+        A repeated ``tag`` (the last commit, replayed) is ignored. ``position``
+        is committed with the rows; it is kept when none is given.
         """
         state = self._state()
         if tag is not None and tag == state.tag:
             return
         version = state.version + 1
         incoming_part = f"v{version:08d}_in"
-        touched = self._write(batch, incoming_part)
-        if not touched:
+        position = position or state.position
+        buckets = state.buckets or self.buckets
+        touched = self._write(batch, incoming_part, buckets)
+        if not touched and position == state.position:
             return
         incoming = {bucket: [incoming_part] for bucket in touched}
         known = {bucket: state.live[bucket] for bucket in touched if bucket in state.live}
@@ -103,16 +124,22 @@ class KeyedTable:
                     new_rows.withColumn("_arrival", F.lit(1))
                 )
                 merged = latest_per_key(both, [self.key], [newest_by, "_arrival"]).drop("_arrival")
-            self._write(merged.drop("bucket", "part"), merged_part)
+            self._write(merged.drop("bucket", "part"), merged_part, buckets)
             live.update({bucket: [merged_part] for bucket in rewrite})
-        self._commit(State(version, tag, live))
+        self._commit(State(version, tag, live, buckets, position))
 
-    def overwrite(self, batch: DataFrame, tag: str | None = None) -> None:
+    def overwrite(self, batch: DataFrame, tag: str | None = None, position: tuple[int, int] | None = None) -> None:
         """Replace the whole content."""
         version = self._state().version + 1
         part = f"v{version:08d}_in"
-        touched = self._write(batch, part)
-        self._commit(State(version, tag, {bucket: [part] for bucket in touched}))
+        touched = self._write(batch, part, self.buckets)
+        self._commit(State(version, tag, {bucket: [part] for bucket in touched}, self.buckets, position))
+
+    def rebucket(self) -> None:
+        """Rewrite the table with this object's number of buckets, one folder each."""
+        rows, state = self.read(), self._state()
+        if rows is not None:
+            self.overwrite(rows, state.tag, state.position)
 
     def _state(self) -> State:
         snapshots = read_if_exists(self.spark, f"{self.path}/snapshots", "json", SNAPSHOT)
@@ -122,27 +149,31 @@ class KeyedTable:
         rows = snapshots.where(F.col("version") == newest.scalar()).collect()
         if not rows:
             return State()
-        state = State(rows[0].version, rows[0].tag)
+        first = rows[0]
+        position = None if first.generation is None else (first.generation, first.load_id)
+        state = State(first.version, first.tag, {}, first.buckets, position)
         for row in rows:
             if row.bucket is not None:
                 state.live.setdefault(row.bucket, []).append(row.part)
         return state
 
     def _commit(self, state: State) -> None:
-        rows = [(state.tag, bucket, part) for bucket, parts in state.live.items() for part in parts]
+        common = (state.buckets, *(state.position or (None, None)))
+        rows = [(state.tag, bucket, part, *common) for bucket, parts in state.live.items() for part in parts]
         snapshot = self.spark.createDataFrame(
-            rows or [(state.tag, None, None)], "tag string, bucket int, part string"
+            rows or [(state.tag, None, None, *common)],
+            "tag string, bucket int, part string, buckets int, generation int, load_id long",
         )
         folder = f"{self.path}/snapshots/version={state.version}"
         snapshot.coalesce(1).write.mode("overwrite").json(folder)
 
-    def _write(self, batch: DataFrame, part: str) -> list[int]:
+    def _write(self, batch: DataFrame, part: str, buckets: int) -> list[int]:
         """Write rows by bucket; returns the buckets that got any."""
         folder = f"{self.path}/rows/part={part}"
-        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+        bucket = F.pmod(F.xxhash64(self.key), F.lit(buckets)).cast("int")
         (
             batch.withColumn("bucket", bucket)
-            .repartition("bucket", F.pmod(F.hash(self.key), F.lit(self.files_per_bucket)))
+            .repartition(buckets * self.files_per_bucket, "bucket", F.pmod(F.hash(self.key), F.lit(self.files_per_bucket)))
             .write.mode("overwrite")
             .partitionBy("bucket")
             .parquet(folder)

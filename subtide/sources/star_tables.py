@@ -16,9 +16,11 @@ from subtide.params import ReportParams
 from subtide.sources.schemas import EVENT_FIELDS, EVENTS, LICENSE_FIELDS, LICENSES, TRANSACTION_FIELDS, TRANSACTIONS
 
 PREFIX = "com.acme."
-YEARS_AHEAD = 23
+#: Puts the last order on the day before the report date.
+DAYS_AHEAD = 8247
+#: The cohort window runs from the first order to the last month that a payment covers.
 PARAMS = ReportParams(
-    as_of=date(2024, 3, 1), product_prefix=PREFIX, cohort_start=date(2021, 1, 1), cohort_periods=36
+    as_of=date(2024, 3, 1), product_prefix=PREFIX, cohort_start=date(2017, 7, 1), cohort_periods=92
 )
 LOADED_AT = datetime(2024, 3, 1)
 
@@ -36,14 +38,12 @@ def _pick(number: Column, *choices: str | None) -> Column:
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders before the report date as add-on sales."""
-    first_left_out = PARAMS.as_of.replace(year=PARAMS.as_of.year - YEARS_AHEAD)
-    orders = _table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit(first_left_out))
-    return orders.select(
+    """Orders as add-on sales."""
+    return _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("product_no"),
-        F.add_months(F.col("o_orderdate").cast("date"), 12 * YEARS_AHEAD).alias("sale_date"),
+        F.date_add(F.col("o_orderdate").cast("date"), DAYS_AHEAD).alias("sale_date"),
         F.col("o_totalprice").alias("amount"),
     )
 

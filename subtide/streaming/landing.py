@@ -29,6 +29,9 @@ STORED = T.StructType(
         T.StructField("valid", T.BooleanType()),
     ]
 )
+#: Age, against the newest file, beyond which Spark would pass over a new file; longer than any source is kept.
+MAX_FILE_AGE = "36500d"
+
 GENERATION = T.StructType([T.StructField("generation", T.IntegerType())])
 
 
@@ -66,9 +69,13 @@ def land_files(
     *,
     full_refresh: bool = False,
     max_files_per_trigger: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> int:
     """Load the files not loaded before; returns the generation they are in.
 
+    Files count by name, not by time, so a file delivered late with an old
+    modification time is loaded too, up to ``max_file_age``.
+
     Every micro-batch writes its own ``load_id`` folder in overwrite mode, so
     a replayed batch replaces what a failed attempt left. Good and broken
     lines are written in one pass over the source.
@@ -80,7 +87,7 @@ def land_files(
         rows = parse_lines(lines, datetime.now(timezone.utc))
         rows.write.mode("overwrite").partitionBy("valid").parquet(folder)
 
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(files).select("value", F.col("_metadata.file_path").alias("file_name"))
@@ -105,10 +112,27 @@ def _rows(spark: SparkSession, landing: str, valid: bool, columns: list[str]) ->
     return stored.where(F.col("valid") == valid).select(*columns)
 
 
-def landed(spark: SparkSession, landing: str, after: datetime | None = None) -> DataFrame:
-    """Parsed rows of the current generation, optionally only later loads."""
-    rows = _rows(spark, landing, True, ["raw_data", "file_name", "loaded_at"])
-    return newer_than(rows, after)
+def last_load(spark: SparkSession, landing: str) -> int:
+    """Number of the last load of the current generation, -1 before the first."""
+    folder = f"{landing}/rows/generation={current_generation(spark, landing)}"
+    stored = read_if_exists(spark, folder, "parquet", STORED)
+    newest = None if stored is None else stored.agg(F.max("load_id")).first()[0]
+    return -1 if newest is None else newest
+
+
+def landed(
+    spark: SparkSession, landing: str, after: datetime | None = None, loads: tuple[int, int] | None = None
+) -> DataFrame:
+    """Parsed rows of the current generation, optionally only later ones.
+
+    ``loads`` gives the last load to leave out and the last to take; only the
+    folders of the loads between are read.
+    """
+    columns = ["raw_data", "file_name", "loaded_at"]
+    rows = _rows(spark, landing, True, [*columns, "load_id"])
+    if loads is not None:
+        rows = rows.where((F.col("load_id") > loads[0]) & (F.col("load_id") <= loads[1]))
+    return newer_than(rows.select(*columns), after)
 
 
 def quarantined(spark: SparkSession, landing: str) -> DataFrame:

@@ -5,7 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from subtide.plans import marts, quality
-from subtide.plans.build import SOURCES, Warehouse, run
+from subtide.plans.build import SOURCES, Warehouse, refresh_staging, run
 from subtide.sources import star_tables
 from subtide.sources.layers import query, read_table
 from subtide.sources.schemas import CONTRACTS
@@ -56,3 +56,19 @@ def test_two_loads_equal_one_full_refresh(spark, folder):
 
     top = query(spark, "SELECT sale_month, sum(total_mrr) AS total FROM MARTS.MART_MRR_CHURN GROUP BY 1 ORDER BY 1 DESC")
     assert top.first().sale_month == marts.presented(again["mart_mrr_churn"], "mart_mrr_churn").first().sale_month
+
+
+def test_a_rerun_without_files_changes_nothing(spark, folder):
+    """Two loads bring the same license; the older state comes later and loses, also in reruns."""
+    files = f"{folder}/files"
+    source = "marketplace_licenses"
+    warehouse = Warehouse(spark, f"{folder}/warehouse", buckets=2, max_files_per_trigger=1)
+    rows = star_tables.RAW[SOURCES[source]](spark, SF_DIR)
+    one = rows.where(F.col("addon_license_id") == rows.agg(F.min("addon_license_id")).first()[0])
+    for day, status in ((date(2024, 1, 5), "active"), (date(2024, 1, 1), "cancelled")):
+        state = one.withColumns({"last_updated": F.lit(day).cast(one.schema["last_updated"].dataType), "status": F.lit(status)})
+        star_tables.deliver(star_tables.envelopes(state, SOURCES[source]), f"{files}/")
+    first = content(refresh_staging(warehouse, source, f"{files}/"))
+    assert content(refresh_staging(warehouse, source, f"{files}/")) == first
+    assert content(refresh_staging(warehouse, source, f"{files}/", full_refresh=True)) == first
+    assert content(refresh_staging(warehouse, source, f"{files}/")) == first

@@ -5,13 +5,14 @@ import os
 import pytest
 from pyspark.errors import SparkRuntimeException, StreamingQueryException
 
+from subtide.operators.latest import latest_per_key
 from subtide.plans.staging import extract, stage_landed
 from subtide.sources import seeds
 from subtide.sources.files import read_csv_source
 from subtide.sources.keyed_table import KeyedTable
 from subtide.sources.layers import layer_name
 from subtide.sources.schemas import EVENTS, TRANSACTIONS
-from subtide.streaming.landing import current_generation, land_files, landed, newer_than, quarantined
+from subtide.streaming.landing import current_generation, land_files, landed, last_load, newer_than, quarantined
 
 
 def frame(spark, rows):
@@ -176,3 +177,45 @@ def test_seeds_and_csv(spark, folder):
     assert sorted(seeds.suffix_list(seeds.suffix_table(spark, f"{folder}/suffixes.csv"))) == ["ab", "oy"]
     assert read_csv_source(spark, f"{folder}/suffixes.csv").columns == ["suffix"]
     assert layer_name(" marts ") == "MARTS"
+
+
+@pytest.mark.parametrize("before, after", [(4, 8), (8, 4)])
+def test_the_number_of_buckets_belongs_to_the_table(spark, folder, before, after):
+    KeyedTable(spark, folder, "k", buckets=before).upsert(frame(spark, [(f"k{i}", i) for i in range(1000)]))
+    table = KeyedTable(spark, folder, "k", buckets=after)
+    table.upsert(frame(spark, [(f"k{i}", -i) for i in range(50)]))
+    want = sorted((f"k{i}", -i if i < 50 else i) for i in range(1000))
+    assert contents(table) == want
+    table.rebucket()
+    table.upsert(frame(spark, [("k999", 0)]))
+    assert contents(table) == sorted([*[row for row in want if row[0] != "k999"], ("k999", 0)])
+
+
+def test_the_position_is_committed_with_the_rows(spark, folder):
+    table = KeyedTable(spark, folder, "k", buckets=2)
+    assert table.position() is None
+    table.upsert(frame(spark, [("a", 1)]), position=(0, 3))
+    table.upsert(frame(spark, [("b", 1)]))
+    assert table.position() == (0, 3)
+    table.upsert(frame(spark, []), position=(0, 4))
+    assert table.position() == (0, 4) and len(contents(table)) == 2
+
+
+def test_files_delivered_late_with_an_old_time_are_loaded(spark, folder):
+    files, landing = f"{folder}/in", f"{folder}/landing"
+    write_lines(f"{files}/1.jsonl.gz", [line("a")])
+    land_files(spark, files, landing)
+    write_lines(f"{files}/0.jsonl.gz", [line("b")])
+    month_ago = os.path.getmtime(f"{files}/1.jsonl.gz") - 30 * 86400
+    os.utime(f"{files}/0.jsonl.gz", (month_ago, month_ago))
+    land_files(spark, files, landing)
+    assert ids(landed(spark, landing)) == ["a", "b"]
+    assert last_load(spark, landing) == 1
+    assert ids(landed(spark, landing, loads=(0, 1))) == ["b"]
+
+
+def test_rows_that_differ_in_a_variant_only_have_one_winner(spark):
+    rows = spark.sql("SELECT 1 AS k, parse_json(concat('{\"a\":', id, '}')) AS v FROM range(20)")
+    orders = [rows.orderBy(rows.v.cast("string")), rows.orderBy(rows.v.cast("string").desc())]
+    winners = {latest_per_key(df, ["k"], ["k"]).select(df.v.cast("string")).first()[0] for df in orders}
+    assert len(winners) == 1
