@@ -138,11 +138,8 @@ def labelled_sample(
     )
     known = known.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
     texts = docs.select(F.col(id_column).alias("_id"), F.coalesce(text_column, F.lit("")).cast("binary").alias("_text"))
-    # The broadcast side has at most ``rows`` ids and labels.
-    found = {(row[0], bytes(row[1])): row[2] for row in texts.join(F.broadcast(known), "_id").toLocalIterator()}
-    chosen, last = [], None
-    for (name, text), y in sorted(found.items()):
-        if name != last:
-            chosen.append((text, y))
-        last = name
-    return [text for text, _ in chosen], [y for _, y in chosen]
+    # The broadcast side has at most ``rows`` ids and labels. One text of each id is left before rows go to the driver, and
+    # grouping runs the scan as one job over all partitions; only the small result is fetched part by part.
+    found = texts.join(F.broadcast(known), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_label").alias("_label"))
+    chosen = sorted((row[0], bytes(row[1]), row[2]) for row in found.toLocalIterator())
+    return [text for _, text, _ in chosen], [y for _, _, y in chosen]

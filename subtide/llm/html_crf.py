@@ -345,9 +345,13 @@ def training_pages(sample: list[str], seed: int = 7) -> list[tuple[list[Block],
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, html_column: str = "html") -> Field:
     """Fit on pages made of at most ``sample_pages`` distinct pages, those with the smallest hash."""
-    sample = pages.where(F.length(html_column) > 0).select(html_column).distinct()
-    rows = sample.orderBy(F.xxhash64(html_column)).limit(sample_pages).collect()
-    return fit(training_pages(sorted(row[0] for row in rows)))
+    whole = pages.where(F.length(html_column) > 0).select(F.xxhash64(html_column).alias("_hash"), F.col(html_column).alias("_html"))
+    # Hashes alone are shuffled to choose the sample; of the chosen pages one copy a task goes on.
+    last = whole.select("_hash").distinct().orderBy("_hash").limit(sample_pages).agg(F.max("_hash")).first()[0]
+    if last is None:
+        return fit([])
+    rows = whole.where(F.col("_hash") <= last).groupBy("_hash").agg(F.min("_html").alias("_html")).collect()
+    return fit(training_pages(sorted(row["_html"] for row in rows)))
 
 
 TEXT = [T.StructField("text", T.StringType(), False), T.StructField("n_chars", T.LongType(), False)]
