@@ -19,11 +19,11 @@ import subtide
 #: Arrow batches stay small, because texts may be long.
 BATCH_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
-#: Characters of text that a task works on at once.
-CHUNK_CHARS = 4 << 20
+#: Bytes of text that a task works on at once.
+CHUNK_BYTES = 1 << 20
 
 Compute = Callable[[pa.RecordBatch], list]
 
@@ -56,10 +56,10 @@ def without(df: DataFrame, names: list[str]) -> list[T.StructField]:
     return [field for field in df.schema.fields if field.name.lower() not in taken]
 
 
-def _pieces(batch: pa.RecordBatch, text_column: str) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part has a bounded amount of text."""
+def _pieces(batch: pa.RecordBatch, text_column: str, chunk_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that each part has a bounded amount of text (or one text)."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text_column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes, dtype=np.int64) // CHUNK_CHARS
+    part = np.cumsum(sizes, dtype=np.int64) // chunk_bytes
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, end in zip(cuts, cuts[1:]):
         if end > start:
@@ -102,6 +102,26 @@ def filter_rows(df: DataFrame, text_column: str, start: Callable[[], Compute]) -
     return df.mapInArrow(run, df.schema)
 
 
+def map_pieces(
+    df: DataFrame, text_column: str, schema: T.StructType, start: Callable[[], Callable], chunk_bytes: int = CHUNK_BYTES
+) -> DataFrame:
+    """Rows computed from batches with a bounded amount of text.
+
+    ``start`` runs once per task and returns a function from a batch to new
+    batches; at the end of the task it is called once more with None.
+    """
+    prepare_workers(df.sparkSession)
+
+    def run(batches):
+        step = start()
+        for batch in batches:
+            for part in _pieces(batch, text_column, chunk_bytes):
+                yield from step(part)
+        yield from step(None)
+
+    return df.mapInArrow(run, schema)
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """Texts of a batch; null is empty."""
     return [text or "" for text in batch.column(column).to_pylist()]

@@ -18,6 +18,7 @@ from subtide.llm import (
     quality_rules,
     sharding,
     simhash,
+    spelling,
     token_files,
     toxicity,
 )
@@ -111,6 +112,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.with_scores(docs, toxicity.train(docs, labels), keep=["doc_id"]))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), misspell_every=31)
+    return spelling.spelling_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_token_files": op2_token_files,
@@ -122,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_ranking": op8_quality_ranking,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
+    "op13_spelling": op13_spelling,
 }
 
 
