@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subtide.llm import (
+    alignment,
     bpe,
     decontamination,
     html_crf,
@@ -26,6 +27,7 @@ from subtide.llm.frames import held_out, table
 from subtide.session import materialized
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 SHARDS = 40
 
@@ -112,6 +114,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.with_scores(docs, toxicity.train(docs, labels), keep=["doc_id"]))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.alignments(table(spark, sf_dir, "documents"), TOKENIZER, PIECES, keep=["doc_id"])
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling.vocabulary(table(spark, sf_dir, "documents"), misspell_every=31)
     return spelling.spelling_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
@@ -128,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_ranking": op8_quality_ranking,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
+    "op12_alignment": op12_alignment,
     "op13_spelling": op13_spelling,
 }
 
