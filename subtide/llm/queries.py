@@ -14,6 +14,7 @@ from subtide.llm import (
     decontamination,
     html_crf,
     licences,
+    mixing,
     oracle,
     quality_ranking,
     quality_rules,
@@ -114,6 +115,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.with_scores(docs, toxicity.train(docs, labels), keep=["doc_id"]))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents")))
+    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = alignment.alignments(table(spark, sf_dir, "documents"), TOKENIZER, PIECES, keep=["doc_id"])
     return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
@@ -135,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_ranking": op8_quality_ranking,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
+    "op11_mixing": op11_mixing,
     "op12_alignment": op12_alignment,
     "op13_spelling": op13_spelling,
 }
