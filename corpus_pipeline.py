@@ -42,8 +42,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and digests of them and of the decoded text."""
-    encoded = bpe.encode_documents(docs, TOKENIZER, keep=["doc_id"])
-    return bpe.decode_documents(encoded, TOKENIZER).select(
+    return bpe.encode_documents(docs, TOKENIZER, keep=["doc_id"], decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",

@@ -24,8 +24,8 @@ from subtide.llm.frames import append_columns, prepare_workers, ragged, texts_of
 #: Fixed value: the pattern of byte-level pre-tokens.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Distinct fragments that a task remembers before it starts anew.
-MEMORY = 1_000_000
+#: Bytes of remembered fragments and their ids, about, before a task starts anew; ENTRY is the share of one fragment.
+MEMORY, ENTRY = 48 << 20, 200
 
 #: Texts are cut before these signs. A stop after another sign, and white space
 #: after white space, is no certain cut; such texts are cut at pre-tokens only.
@@ -66,6 +66,9 @@ class Store:
         lengths = self.length[codes]
         return self.values[ragged(self.start[codes], lengths)], lengths
 
+    def bytes(self) -> int:
+        return self.values.nbytes + self.start.nbytes + self.length.nbytes
+
 
 class Codes(dict):
     """Number of each key; keys met for the first time wait in ``new``."""
@@ -122,6 +125,10 @@ class ByteBPE:
         self.chunks, self.chunk_ids = Codes(), Store()
         self.flags = np.zeros(1 << 12, np.int8)
 
+    def remembered(self) -> int:
+        """Bytes of the fragments met so far, about. Longer fragments than usual count through their ids."""
+        return (len(self.chunks) + len(self.pieces)) * ENTRY + 2 * (self.chunk_ids.bytes() + self.piece_ids.bytes())
+
     # --- merging -------------------------------------------------------------
 
     def _merge(self, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +221,7 @@ class ByteBPE:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of ids of each text."""
-        if len(self.chunks) + len(self.pieces) > MEMORY:
+        if self.remembered() > MEMORY:
             self.forget()
         if not self.certain:
             whole = [self._whole(text) for text in texts]
@@ -271,12 +278,16 @@ IDS = T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)
 DECODED = T.StructField("decoded", T.StringType(), False)
 
 
-def encode_documents(docs: DataFrame, path: str, text_column: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Append ``ids``, the token ids of the whole text.
+def encode_documents(
+    docs: DataFrame, path: str, text_column: str = "text", keep: list[str] | None = None, decoded: bool = False
+) -> DataFrame:
+    """Append ``ids``, the token ids of the whole text, and with ``decoded`` the text that they give back.
 
-    Null and empty texts have no ids. All rows stay, repeated ones too; an
-    input column ``ids`` gives way. ``keep`` limits the columns that are kept.
-    ``path`` is the vocabulary file, present on every machine.
+    Null and empty texts have no ids and decode to the empty text. All rows
+    stay, repeated ones too; input columns ``ids`` and (with ``decoded``)
+    ``decoded`` give way. ``keep`` limits the columns that are kept.
+    ``path`` is the vocabulary file, present on every machine. Both
+    directions share one step, so a task has one coder.
     """
 
     def start():
@@ -285,11 +296,12 @@ def encode_documents(docs: DataFrame, path: str, text_column: str = "text", keep
         def compute(batch):
             ids, lengths = coder.encode(texts_of(batch, text_column))
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))]
+            arrays = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))]
+            return arrays + ([pa.array(coder.decode(ids, lengths), pa.string())] if decoded else [])
 
         return compute
 
-    return append_columns(docs, text_column, [IDS], start, keep)
+    return append_columns(docs, text_column, [IDS, DECODED] if decoded else [IDS], start, keep)
 
 
 def decode_documents(encoded: DataFrame, path: str, ids_column: str = "ids") -> DataFrame:

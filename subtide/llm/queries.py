@@ -38,8 +38,8 @@ def ids_digest(ids: str) -> Column:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), TOKENIZER, keep=["doc_id"])
-    return bpe.decode_documents(encoded, TOKENIZER).select(
+    rows = bpe.encode_documents(table(spark, sf_dir, "documents"), TOKENIZER, keep=["doc_id"], decoded=True)
+    return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         ids_digest("ids").alias("ids_sha256"),

@@ -9,6 +9,7 @@ encoded. The length columns can be read without touching the ids.
 
 from __future__ import annotations
 
+import os
 import zlib
 from functools import lru_cache
 
@@ -20,8 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from subtide.llm.bpe import ByteBPE
-from subtide.llm.frames import append_columns, prepare_workers, ragged, texts_of
+from subtide.llm.frames import append_columns, prepare_workers, texts_of
 from subtide.session import new_scratch_folder
 
 ENCODINGS = {
@@ -29,9 +29,6 @@ ENCODINGS = {
     "delta": {"parquet.enable.dictionary": "false", "parquet.writer.version": "v2"},
 }
 
-#: Pre-tokens that the library gets as one text.
-JOINED = 500
-
 FIELDS = [
     T.StructField("n_tokens", T.LongType(), False),
     T.StructField("part_start", T.LongType(), False),
@@ -39,42 +36,14 @@ FIELDS = [
 ]
 
 
-class LibraryBPE(ByteBPE):
-    """Fragments are encoded by the tokenizers library; each distinct one once per task."""
-
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-
-    def _learn_pieces(self) -> None:
-        """Pre-tokens that begin with a space and go on with letters stay apart in one text, so many go in at once."""
-        new, self.pieces.new = self.pieces.new, []
-        plain = np.array([piece[1:].isalpha() and piece[0] == " " for piece in new], bool)
-        words = [new[n] for n in np.flatnonzero(plain).tolist()]
-        others = [new[n] for n in np.flatnonzero(~plain).tolist()]
-        ids, lengths = [], np.zeros(len(new), np.int64)
-        joined = ["".join(words[at : at + JOINED]) for at in range(0, len(words), JOINED)]
-        counts = []
-        for n, encoding in enumerate(self.library.encode_batch(joined, add_special_tokens=False)):
-            ids.append(np.array(encoding.ids, np.int32))
-            counts.append(np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(words[n * JOINED : (n + 1) * JOINED])))
-        if counts:
-            lengths[plain] = np.concatenate(counts)
-        lists = [encoding.ids for encoding in self.library.encode_batch_fast(others, add_special_tokens=False)]
-        lengths[~plain] = [len(own) for own in lists]
-        ids.append(np.array([i for own in lists for i in own], np.int32))
-        # Both kinds stand one after the other; put them back in the order of the pieces.
-        flat, order = np.concatenate(ids), np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
-        starts = np.empty(len(new), np.int64)
-        starts[order] = np.cumsum(lengths[order]) - lengths[order]
-        self.piece_ids.add(flat[ragged(starts, lengths)], lengths)
-
-
 @lru_cache(maxsize=2)
-def library_bpe(path: str) -> LibraryBPE:
-    return LibraryBPE(path)
+def library(path: str) -> Tokenizer:
+    """One tokenizer per Python worker and file, with one thread: Spark has a task for every core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
 
 
 def write_token_files(
@@ -92,20 +61,22 @@ def write_token_files(
 
     Texts are moved to ranges of ids first and encoded where they are written,
     so each is encoded once and ids are never shuffled. Documents without an id
-    come first, repeated ids are ordered by text; a null text has only the end
-    id. An empty table gives files without rows.
+    come first, repeated ids are ordered by a hash of the text, which also parts
+    them among tasks; a null text has only the end id. An empty table gives files
+    without rows. The library gets whole texts, those of a bounded batch at once.
     """
     rows = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    ordered = hashed.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash").drop("hash")
 
     def start():
-        coder, place = library_bpe(tokenizer), 0
+        coder, place = library(tokenizer), 0
 
         def compute(batch):
             nonlocal place
-            ids, lengths = coder.encode(texts_of(batch, "text"))
-            ids = np.insert(ids, np.cumsum(lengths), end_id)
-            lengths = lengths + 1
+            encoded = coder.encode_batch_fast(texts_of(batch, "text"), add_special_tokens=False)
+            lists = [np.array([*encoding.ids, end_id], np.int32) for encoding in encoded]
+            ids, lengths = np.concatenate(lists), np.array([len(own) for own in lists], np.int64)
             ends = np.cumsum(lengths)
             starts, place = place + ends - lengths, place + int(ends[-1])
             offsets = np.concatenate([[0], ends]).astype(np.int32)

@@ -1,10 +1,12 @@
 """Each operator against brute force, and on awkward and empty tables."""
 
+import glob
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -34,9 +36,10 @@ def docs(spark):
 
 
 def test_encoding_and_decoding_equal_the_library(docs, library):
-    encoded = bpe.encode_documents(docs, PATH)
-    rows = bpe.decode_documents(encoded, PATH).collect()
+    rows = bpe.encode_documents(docs, PATH, decoded=True).collect()
     assert len(rows) == docs.count()
+    again = bpe.decode_documents(bpe.encode_documents(docs, PATH), PATH).collect()
+    assert [r.decoded for r in again] == [r.decoded for r in rows]
     for row in rows:
         ids = library.encode(row.text or "", add_special_tokens=False).ids
         assert row.ids == ids
@@ -53,6 +56,15 @@ def test_encoding_equals_the_library_on_mixed_pieces(library):
         assert ids[end - length : end].tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_coder_that_forgets_gives_the_same_ids(monkeypatch, library):
+    coder = bpe.ByteBPE(PATH)
+    monkeypatch.setattr(bpe, "MEMORY", 0)
+    for seed in range(20):
+        text = prose(seed, 80)
+        assert coder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(coder.chunks) <= 200
+
+
 def test_decoding_takes_ids_in_any_order(spark, library):
     lists = [[5, 300, 40_000, 7], [], None, [220, 221, 222]]
     rows = bpe.decode_documents(spark.createDataFrame([(x,) for x in lists], "ids array<int>"), PATH).collect()
@@ -82,6 +94,44 @@ def test_token_files_round_trip(spark, docs, library, folder, encoding):
     assert ordered == sorted(ordered, key=lambda x: (x is not None, x or 0))
 
 
+@pytest.mark.parametrize("encoding, wanted", [("dictionary", "PLAIN_DICTIONARY"), ("delta", "DELTA_BINARY_PACKED")])
+def test_token_files_have_the_chosen_layout(spark, folder, encoding, wanted):
+    """Encodings, row groups and page indexes as the footers tell them; a read of lengths leaves the ids alone."""
+    out = folder + "/tokens"
+    rng = np.random.default_rng(1)
+    texts = [(n, " ".join(f"w{x}" for x in rng.integers(0, 10**9, 600))) for n in range(1200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(1)
+    token_files.write_token_files(docs, PATH, out, 2, encoding, row_group_mb=1, page_rows=100)
+    files = sorted(glob.glob(out + "/*.parquet"))
+    metas = [pq.ParquetFile(f).metadata for f in files]
+    groups = [m.row_group(g) for m in metas for g in range(m.num_row_groups)]
+    assert len(groups) > len(metas) and max(g.total_byte_size for g in groups) < 3 << 20
+    for group in groups:
+        columns = {group.column(c).path_in_schema: group.column(c) for c in range(group.num_columns)}
+        assert wanted in columns["ids.list.element"].encodings
+        assert all(c.has_offset_index for c in columns.values())
+        assert columns["doc_id"].has_column_index and columns["doc_id"].statistics.has_min_max
+        assert columns["ids.list.element"].total_compressed_size > 20 * columns["n_tokens"].total_compressed_size
+    ranges = [(g.column(0).statistics.min, g.column(0).statistics.max) for g in groups]
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    some = token_files.read_token_files(spark, out).where("doc_id BETWEEN 700 AND 703").select("doc_id", "n_tokens")
+    text = some._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:bigint,n_tokens:bigint>" in text and "GreaterThanOrEqual(doc_id,700)" in text
+    assert [r.doc_id for r in some.collect()] == [700, 701, 702, 703]
+
+
+def test_equal_ids_are_dealt_out(spark, folder):
+    """Documents without an id, or with one and the same, do not meet in one file."""
+    out = folder + "/tokens"
+    docs = spark.createDataFrame([(None, f"text {n} " * 50) for n in range(4000)], "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    token_files.write_token_files(docs, PATH, out, 2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = token_files.read_token_files(spark, out)
+    counts = [r["count"] for r in files.groupBy("part").count().collect()]
+    assert sum(counts) == 4000 and max(counts) < 2500
+
+
 def test_token_files_of_an_empty_table(spark, folder):
     out = folder + "/tokens"
     token_files.write_token_files(empty(spark), PATH, out, 2)

@@ -26,6 +26,8 @@ COLUMNS = {
     "op8_quality_ranking": ["doc_id", "held_out", "score", "predicted"],
     "op9_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op10_toxicity": ["doc_id", "held_out", "score", "predicted"],
+    "op11_mixing": ["doc_id", "size", "source_size", "target", "taken"],
+    "op12_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
 }
 
 
