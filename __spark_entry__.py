@@ -8,9 +8,9 @@ that results can be compared with those of another database.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 from functools import cached_property, lru_cache, reduce
-from importlib.util import find_spec
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +28,8 @@ from subtide.plans.staging import CLEAN, stage_landed
 from subtide.session import materialized, new_scratch_folder, prepare_session
 from subtide.sources import star_tables
 from subtide.sources.keyed_table import KeyedTable
-from subtide.sources.schemas import CONTRACTS, EVENTS, LICENSES, TRANSACTIONS
+from subtide.sources.layers import Layout, write_table
+from subtide.sources.schemas import CONTRACTS, EVENTS, LICENSES, TRANSACTIONS, Contract
 from subtide.sources.seeds import LEGAL_SUFFIXES
 from subtide.streaming.landing import land_files, landed, newer_than, parse_lines, read_lines
 
@@ -95,6 +96,48 @@ class Feed:
     def adoption(self) -> DataFrame:
         return marts.feature_adoption(self.usage, self.trials, PARAMS)
 
+    @cached_property
+    def written(self) -> "Feed":
+        """The same feed over written layer tables: by license in buckets, by month in folders."""
+        return WrittenFeed(self)
+
+
+class WrittenFeed(Feed):
+    """Tables of a feed that are written once, when first used."""
+
+    def __init__(self, feed: Feed):
+        super().__init__(feed.spark, feed.sf_dir)
+        self.feed = feed
+        self.root = new_scratch_folder(feed.spark, "layers")
+
+    def _keep(self, layer: str, table: str, df: DataFrame, layout: Layout) -> DataFrame:
+        return write_table(df, self.root, layer, table, layout)
+
+    @cached_property
+    def licenses(self) -> DataFrame:
+        return self._keep("staging", LICENSES, self.feed.licenses, Layout(bucket_by="addon_license_id", buckets=8))
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return self._keep("staging", TRANSACTIONS, self.feed.transactions, Layout(bucket_by="addon_license_id", buckets=8))
+
+    @cached_property
+    def mrr(self) -> DataFrame:
+        rows = subscriptions.monthly_mrr(self.transactions, self.licenses)
+        return self._keep("intermediate", "int_monthly_mrr", rows, Layout(partition_by="sale_month"))
+
+    @cached_property
+    def usage(self) -> DataFrame:
+        rows = customers.feature_usage(self.keyed, self.hub)
+        return self._keep("intermediate", "int_feature_usage", rows, Layout(partition_by="event_month"))
+
+    @cached_property
+    def trials(self) -> DataFrame:
+        found = subscriptions.trial_conversions(self.licenses, self.transactions)
+        layout = Layout(bucket_by="eval_license_id", buckets=8)
+        conversions = self._keep("intermediate", "int_trial_conversions", found, layout)
+        return subscriptions.trial_lifecycle(self.licenses, self.transactions, PARAMS, conversions)
+
 
 def comparable(df: DataFrame) -> DataFrame:
     columns = []
@@ -272,8 +315,6 @@ def usage_by_trial(feed: Feed) -> DataFrame:
 
 
 def trial_conversion_literal(feed: Feed) -> DataFrame:
-    from dataclasses import replace
-
     return marts.trial_conversion(feed.trials, replace(PARAMS, literal=True))
 
 
@@ -319,6 +360,25 @@ def contract_summary(feed: Feed) -> DataFrame:
     return quality.contract_summary(frames, CONTRACTS)
 
 
+def contract_gate(feed: Feed) -> DataFrame:
+    """Failures that the writing jobs observe: required values of cleaned rows, accepted values of rows as they come."""
+    report = quality.ContractReport()
+    for name, rows in _cleaned(feed).items():
+        _observe(feed, rows, replace(CONTRACTS[name], accepted=()), report)
+    for name, rows in _raw(feed, False).items():
+        _observe(feed, rows, replace(CONTRACTS[name], not_null=()), report)
+    return report.frame(feed.spark)
+
+
+def _observe(feed: Feed, rows: DataFrame, contract: Contract, report: quality.ContractReport) -> None:
+    observed = quality.observed(rows, contract)
+    if observed.seen is not None:
+        write_table(
+            observed.rows, new_scratch_folder(feed.spark, "gate"), "gate", contract.table,
+            check=lambda: report.add(observed.failures()),
+        )
+
+
 def _profiled(feed: Feed) -> DataFrame:
     return feed.events.select(
         "event_id", "event_type", "user_id", "device_id", "platform", "product", "user_property_company",
@@ -388,6 +448,13 @@ QUERIES: dict[str, Callable[[Feed], DataFrame]] = {
     ),
     "fk_violations": fk_violations,
     "contract_summary": contract_summary,
+    "contract_gate": contract_gate,
+    "layer_monthly_mrr": lambda feed: subscriptions.monthly_mrr(feed.written.transactions, feed.written.licenses),
+    "layer_trial_lifecycle": lambda feed: feed.written.trials,
+    "layer_acquisitions": lambda feed: subscriptions.acquisitions(feed.written.transactions, feed.written.licenses),
+    "layer_fk_violations": lambda feed: fk_violations(feed.written),
+    "layer_revenue_signal": lambda feed: marts.revenue_signal(feed.written.mrr),
+    "layer_engagement_signal": lambda feed: marts.engagement_signal(feed.written.usage, PARAMS),
     "profile": lambda feed: quality.profile(_profiled(feed)),
     "duplicate_rows": duplicate_rows,
     "infer_contract": lambda feed: quality.infer_contract(_profiled(feed), "amplitude_events"),
@@ -410,15 +477,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _text_operators() -> tuple[dict[str, Callable], dict[str, str]]:
-    """Queries and SQL of the subpackage for text corpora and of its pipeline, where they are installed."""
-    if find_spec("subtide.llm") is None:
+    """Queries and SQL of the subpackage for text corpora and of its pipeline, where they can be imported."""
+    try:
+        from subtide.llm import queries as text_queries
+    except ImportError:
         return {}, {}
-    from subtide.llm import queries as text_queries
-
     runs, sql = dict(text_queries.QUERIES), dict(text_queries.oracle_sql())
-    if find_spec("corpus_pipeline") is not None:
+    try:
         import corpus_pipeline
-
+    except ImportError:
+        pass
+    else:
         runs["pipeline"] = corpus_pipeline.run
         if corpus_pipeline.ORACLE_SQL:
             sql["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -352,5 +352,15 @@ SQL: dict[str, str] = {
 }
 
 
+# Tables that are written in layers hold the rows of their models.
+for _name in ("monthly_mrr", "trial_lifecycle", "acquisitions", "fk_violations", "revenue_signal", "engagement_signal"):
+    SQL[f"layer_{_name}"] = SQL[_name]
+
+SQL["contract_gate"] = f"""
+    SELECT table_name, column_name, 'not_null' AS "check", n_failures FROM ({SQL['check_not_null']}) WHERE n_failures > 0
+    UNION ALL SELECT table_name, column_name, 'accepted_values', CAST(sum(n_records) AS BIGINT)
+    FROM ({SQL['check_accepted_values']}) GROUP BY ALL"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_tables(sql) for name, sql in SQL.items()}

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from subtide.params import ReportParams
 from subtide.plans import customers, marts, subscriptions
+from subtide.plans.quality import ContractReport, key_failures, observed
 from subtide.plans.staging import stage_landed
 from subtide.sources.keyed_table import KeyedTable
-from subtide.sources.layers import register_table, write_table
-from subtide.sources.schemas import EVENTS, KEYS, LICENSES, TRANSACTIONS
+from subtide.sources.layers import PLAIN, Layout, write_table
+from subtide.sources.schemas import CONTRACTS, EVENTS, KEYS, LICENSES, TRANSACTIONS
 from subtide.sources.seeds import suffix_list
 from subtide.streaming.landing import current_generation, land_files, landed, last_load
 
@@ -27,6 +28,9 @@ SOURCES = {
 class Warehouse:
     """Where the tables live.
 
+    ``co_located`` lays out the tables that are joined by license in buckets of
+    it, which costs one exchange when they are written and saves one in each
+    join; switch it off where one license holds a large part of the sales.
     ``buckets`` and ``files_per_bucket`` size the three cleaned tables;
     ``max_files_per_trigger`` cuts a large load into micro-batches, which are
     what a failed load repeats.
@@ -37,6 +41,10 @@ class Warehouse:
     buckets: int = 64
     files_per_bucket: int = 1
     max_files_per_trigger: int | None = None
+    co_located: bool = True
+
+    def by_license(self, column: str) -> Layout:
+        return Layout(bucket_by=column, buckets=self.buckets) if self.co_located else PLAIN
 
     def landing(self, source: str) -> str:
         return f"{self.root}/RAW/{source}_raw"
@@ -46,9 +54,16 @@ class Warehouse:
         return KeyedTable(self.spark, path, KEYS[table], self.buckets, self.files_per_bucket)
 
 
-def refresh_staging(warehouse: Warehouse, source: str, files: str, full_refresh: bool = False) -> DataFrame:
-    """Load new files of a source and upsert their rows into its cleaned table."""
+def refresh_staging(
+    warehouse: Warehouse, source: str, files: str, full_refresh: bool = False, report: ContractReport | None = None
+) -> DataFrame:
+    """Load new files of a source and upsert their rows into its cleaned table.
+
+    The contract's required and accepted values are counted by the job that writes
+    the new rows, and go to ``report`` before the rows are committed.
+    """
     table = SOURCES[source]
+    report = report or ContractReport()
     staging = warehouse.staging(table)
     landing = warehouse.landing(source)
     land_files(
@@ -62,12 +77,14 @@ def refresh_staging(warehouse: Warehouse, source: str, files: str, full_refresh:
     position = (current_generation(warehouse.spark, landing), last_load(warehouse.spark, landing))
     if full_refresh:
         rows = landed(warehouse.spark, landing, loads=(-1, position[1]))
-        staging.overwrite(stage_landed(rows, table), f"refresh-{position[0]}", position)
+        batch = observed(stage_landed(rows, table), CONTRACTS[table])
+        staging.overwrite(batch.rows, f"refresh-{position[0]}", position, lambda: report.add(batch.failures()))
     else:
         done = staging.position()
         taken = done[1] if done is not None and done[0] == position[0] else -1
         rows = landed(warehouse.spark, landing, loads=(taken, position[1]))
-        staging.upsert(stage_landed(rows, table), position=position)
+        batch = observed(stage_landed(rows, table), CONTRACTS[table])
+        staging.upsert(batch.rows, position=position, check=lambda: report.add(batch.failures()))
     return staging.read()
 
 
@@ -81,25 +98,39 @@ def build_models(
     """Rebuild the intermediate tables and marts from cleaned tables.
 
     Every table is written before the next step reads it, so shared steps are
-    computed once and each step starts from files.
+    computed once and each step starts from files. Tables that are joined by
+    license lie in buckets of it, those that are read by month in folders of it.
     """
-    licenses, transactions, events = staged[LICENSES], staged[TRANSACTIONS], staged[EVENTS]
+    events = staged[EVENTS]
     built: dict[str, DataFrame] = {}
 
-    def keep(layer: str, table: str, df: DataFrame) -> DataFrame:
-        built[table] = write_table(df, warehouse.root, layer, table)
-        register_table(warehouse.spark, warehouse.root, layer, table)
+    def keep(layer: str, table: str, df: DataFrame, layout: Layout = PLAIN) -> DataFrame:
+        built[table] = write_table(df, warehouse.root, layer, table, layout)
         return built[table]
 
+    by_license = warehouse.by_license("addon_license_id")
+    licenses, transactions = (
+        keep("staging", table, staged[table], by_license) if warehouse.co_located else staged[table]
+        for table in (LICENSES, TRANSACTIONS)
+    )
+
     country_list = keep("reference", "dim_country_codes", countries)
     suffix_words = suffix_list(keep("reference", "dim_legal_suffixes", suffixes))
 
     hub = keep("intermediate", "int_customers", customers.customers(licenses, country_list, suffix_words))
     keyed = customers.keyed_events(events, country_list, suffix_words)
-    usage = keep("intermediate", "int_feature_usage", customers.feature_usage(keyed, hub))
-    mrr = keep("intermediate", "int_monthly_mrr", subscriptions.monthly_mrr(transactions, licenses))
+    usage = keep("intermediate", "int_feature_usage", customers.feature_usage(keyed, hub), Layout(partition_by="event_month"))
+    mrr = keep(
+        "intermediate", "int_monthly_mrr", subscriptions.monthly_mrr(transactions, licenses), Layout(partition_by="sale_month")
+    )
+    conversions = None
+    if warehouse.co_located:
+        found = subscriptions.trial_conversions(licenses, transactions)
+        conversions = keep("intermediate", "int_trial_conversions", found, warehouse.by_license("eval_license_id"))
     trials = keep(
-        "intermediate", "int_trial_lifecycle", subscriptions.trial_lifecycle(licenses, transactions, params)
+        "intermediate",
+        "int_trial_lifecycle",
+        subscriptions.trial_lifecycle(licenses, transactions, params, conversions),
     )
     keep(
         "intermediate",
@@ -122,12 +153,23 @@ def run(
     suffixes: DataFrame,
     params: ReportParams,
     full_refresh: bool = False,
+    stop_on_violations: bool = False,
 ) -> dict[str, DataFrame]:
-    """Load ``raw_root/raw/<source>/`` and rebuild everything behind it."""
+    """Load ``raw_root/raw/<source>/`` and rebuild everything behind it.
+
+    ``contract_failures`` of the result holds the checks that failed: required
+    and accepted values among the rows of this load, unique keys and references
+    over the whole tables. With ``stop_on_violations`` a load that breaks its
+    contract raises ``ContractViolation`` and commits nothing, and broken keys or
+    references raise before any model is rebuilt.
+    """
+    report = ContractReport(stop_on_violations)
     staged = {
-        table: refresh_staging(warehouse, source, f"{raw_root}/raw/{source}/", full_refresh)
+        table: refresh_staging(warehouse, source, f"{raw_root}/raw/{source}/", full_refresh, report)
         for source, table in SOURCES.items()
     }
     for table, df in staged.items():
         df.createOrReplaceTempView(table)
-    return {**staged, **build_models(warehouse, staged, countries, suffixes, params)}
+    report.add(key_failures(staged, CONTRACTS))
+    built = build_models(warehouse, staged, countries, suffixes, params)
+    return {**staged, **built, "contract_failures": report.frame(warehouse.spark)}

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,6 +99,78 @@ def contract_summary(tables: dict[str, DataFrame], contracts: dict[str, Contract
     return reduce(DataFrame.unionByName, parts)
 
 
+# --- contracts observed while writing ----------------------------------------
+
+
+class ContractViolation(Exception):
+    """Rows break a contract, and the caller asked to stop on that."""
+
+
+FAILURES = "table_name string, column_name string, check string, n_failures long"
+
+
+@dataclass
+class ContractReport:
+    """Failures of contracts, one entry per table, column and check that fails.
+
+    With ``stop`` the first table that fails raises ``ContractViolation`` before
+    it is committed or published; otherwise failures are only reported.
+    """
+
+    stop: bool = False
+    rows: list[tuple[str, str, str, int]] = field(default_factory=list)
+
+    def add(self, failures: list[tuple[str, str, str, int]]) -> None:
+        self.rows += failures
+        if self.stop and failures:
+            raise ContractViolation("; ".join(f"{t}.{c}: {n} rows fail {check}" for t, c, check, n in failures))
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(sorted(self.rows), FAILURES)
+
+
+@dataclass
+class Observed:
+    """A table whose required and accepted values are counted by the job that writes it."""
+
+    contract: Contract
+    rows: DataFrame
+    seen: Observation | None
+
+    def failures(self) -> list[tuple[str, str, str, int]]:
+        """Checks that fail. To be called after the job; no job of its own runs."""
+        counts = self.seen.get if self.seen is not None else {}
+        found = [(self.contract.table, *key.split("|"), int(n or 0)) for key, n in counts.items()]
+        return sorted(f for f in found if f[-1])
+
+
+def observed(df: DataFrame, contract: Contract) -> Observed:
+    """``df`` with counters of the contract's required and accepted values, for one write."""
+    counters = [F.count_if(F.col(name).isNull()).alias(f"{name}|not_null") for name in contract.not_null]
+    counters += [
+        F.count_if(F.col(name).isNotNull() & ~F.col(name).isin(*values)).alias(f"{name}|accepted_values")
+        for name, values in contract.accepted
+    ]
+    if not counters:
+        return Observed(contract, df, None)
+    seen = Observation(f"contract of {contract.table}")
+    return Observed(contract, df.observe(seen, *counters), seen)
+
+
+def key_failures(tables: dict[str, DataFrame], contracts: dict[str, Contract]) -> list[tuple[str, str, str, int]]:
+    """Unique and reference checks that fail: they need groups and joins, on the key columns alone."""
+    parts = []
+    for table, contract in contracts.items():
+        kinds = [("unique", unique_failures(tables[table], contract))] if contract.unique else []
+        if contract.references:
+            kinds.append(("relationships", reference_failures(tables[table], contract, tables)))
+        for check, failures in kinds:
+            counted = failures.groupBy("table_name", "column_name").agg(F.sum("n_records").alias("n"))
+            parts.append(counted.select("table_name", "column_name", F.lit(check).alias("check"), "n"))
+    # One row per declared check at most is left.
+    return sorted(tuple(row) for row in reduce(DataFrame.unionByName, parts).collect()) if parts else []
+
+
 def _is_number(kind: T.DataType) -> bool:
     return isinstance(kind, T.NumericType)
 

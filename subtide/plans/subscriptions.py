@@ -82,13 +82,13 @@ def first_sale(transactions: DataFrame) -> DataFrame:
     )
 
 
-def trial_lifecycle(licenses: DataFrame, transactions: DataFrame, params: ReportParams) -> DataFrame:
-    """One row per trial and conversion.
+def trial_conversions(licenses: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Licenses that came from a trial, with their first sale.
 
     Sales are joined to the conversions first: the trials that never converted
     have no license to look up, and as NULL keys they would share one task.
     """
-    conversions = (
+    return (
         licenses.where("is_converted")
         .select(
             F.col("evaluation_license").alias("eval_license_id"),
@@ -103,6 +103,17 @@ def trial_lifecycle(licenses: DataFrame, transactions: DataFrame, params: Report
             "left",
         )
     )
+
+
+def trial_lifecycle(
+    licenses: DataFrame, transactions: DataFrame, params: ReportParams, conversions: DataFrame | None = None
+) -> DataFrame:
+    """One row per trial and conversion.
+
+    ``conversions`` may be ``trial_conversions`` written in buckets of
+    ``eval_license_id``, as the licenses are in those of their own id; the join
+    then needs no exchange.
+    """
     trials = licenses.where("is_evaluation").select(
         F.col("addon_license_id").alias("eval_license_id"),
         "addon_key",
@@ -116,8 +127,12 @@ def trial_lifecycle(licenses: DataFrame, transactions: DataFrame, params: Report
     )
     converted = F.col("commercial_license_id").isNotNull()
     over = F.col("eval_end_date") < F.lit(params.as_of)
-    # Nothing keeps several licenses from naming one trial.
-    joined = left_join_split(trials, conversions, "eval_license_id", spread_by="instance_id")
+    if conversions is None:
+        # Nothing keeps several licenses from naming one trial.
+        found = trial_conversions(licenses, transactions)
+        joined = left_join_split(trials, found, "eval_license_id", spread_by="instance_id")
+    else:
+        joined = trials.join(conversions.where("eval_license_id IS NOT NULL"), "eval_license_id", "left")
     return joined.select(
         *trials.columns,
         "commercial_license_id",

@@ -10,6 +10,7 @@ of the one that failed. One writer at a time is assumed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,13 +79,15 @@ class KeyedTable:
         tag: str | None = None,
         newest_by: str | None = None,
         position: tuple[int, int] | None = None,
+        check: Callable[[], None] | None = None,
     ) -> None:
         """Insert or replace by key. ``batch`` holds each key at most once.
 
         The later arrival wins, whatever it contains; with ``newest_by`` the
         row with the greater value of that column wins, on a tie the arrival.
         A repeated ``tag`` (the last commit, replayed) is ignored. ``position``
-        is committed with the rows; it is kept when none is given.
+        is committed with the rows; it is kept when none is given. ``check``
+        runs when the batch is written; if it raises, nothing is committed.
         """
         state = self._state()
         if tag is not None and tag == state.tag:
@@ -94,6 +97,8 @@ class KeyedTable:
         position = position or state.position
         buckets = state.buckets or self.buckets
         touched = self._write(batch, incoming_part, buckets)
+        if check is not None:
+            check()
         if not touched and position == state.position:
             return
         incoming = {bucket: [incoming_part] for bucket in touched}
@@ -128,11 +133,19 @@ class KeyedTable:
             live.update({bucket: [merged_part] for bucket in rewrite})
         self._commit(State(version, tag, live, buckets, position))
 
-    def overwrite(self, batch: DataFrame, tag: str | None = None, position: tuple[int, int] | None = None) -> None:
-        """Replace the whole content."""
+    def overwrite(
+        self,
+        batch: DataFrame,
+        tag: str | None = None,
+        position: tuple[int, int] | None = None,
+        check: Callable[[], None] | None = None,
+    ) -> None:
+        """Replace the whole content; ``check`` as in ``upsert``."""
         version = self._state().version + 1
         part = f"v{version:08d}_in"
         touched = self._write(batch, part, self.buckets)
+        if check is not None:
+            check()
         self._commit(State(version, tag, {bucket: [part] for bucket in touched}, self.buckets, position))
 
     def rebucket(self) -> None:

@@ -1,5 +1,7 @@
 """What the physical plans must and must not contain."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as registered
@@ -23,10 +25,70 @@ def test_no_cross_joins_and_no_python(spark, name):
         assert operator not in text, operator
 
 
-def test_date_filter_and_columns_reach_the_scan(spark):
+def test_filters_and_columns_reach_the_scan(spark):
     text = plan(spark, "acquisitions")
-    assert "LessThan(o_orderdate" in text
-    assert "o_orderstatus" not in text
+    assert "o_orderstatus" not in text and "c_acctbal" not in text
+    text = plan(spark, "layer_acquisitions")
+    assert "IsNotNull(host_license_id)" in text and "In(sale_type, [NEW,RENEWAL])" in text
+    assert "vendor_amount" not in text
+
+
+def below(text, operator):
+    """Lines of the plan below each line that holds ``operator``."""
+    lines = text.split("== Initial Plan ==")[-1].splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*|")) for line in lines]
+    for n, line in enumerate(lines):
+        if operator in line:
+            end = next((m for m in range(n + 1, len(lines)) if depth[m] <= depth[n]), len(lines))
+            yield "\n".join(lines[n + 1 : end])
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize(
+    "name, join, n_joins",
+    [
+        ("layer_monthly_mrr", "Join [addon_license_id", 1),
+        ("layer_trial_lifecycle", "Join [eval_license_id", 1),
+        ("layer_acquisitions", "Join [addon_license_id", 1),
+        ("layer_fk_violations", "Join [value", 1),
+    ],
+)
+def test_joins_of_bucketed_tables_need_no_exchange(spark, no_broadcast, name, join, n_joins):
+    free = [text for text in below(plan(spark, name), join) if "Exchange" not in text]
+    assert len(free) >= n_joins
+    assert all("Bucketed: true" in text for text in free)
+    unbucketed = name.removeprefix("layer_")
+    assert all("Exchange" in text for text in below(plan(spark, unbucketed), join))
+
+
+def test_first_sales_of_conversions_need_no_exchange(spark, no_broadcast):
+    """The join inside the written conversions, and the grouping below it."""
+    feed = registered._feed(spark, SF_DIR).written
+    rows = registered.subscriptions.trial_conversions(feed.licenses, feed.transactions)
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join [commercial_license_id" in text and "Exchange" not in text
+
+
+def test_month_filters_choose_folders(spark):
+    text = plan(spark, "layer_engagement_signal")
+    assert re.search(r"PartitionFilters: \[[^]]*event_month#\d+ >= ", text)
+    text = plan(spark, "layer_revenue_signal")
+    assert re.search(r"PartitionFilters: \[[^]]*sale_month#\d+ = Subquery", text)
+
+
+def test_the_gate_counts_in_the_writing_job(spark):
+    """One scan of the rows: the counters sit in the plan that writes them."""
+    contract = registered.CONTRACTS[registered.LICENSES]
+    rows = registered._feed(spark, SF_DIR).written.licenses
+    text = registered.quality.observed(rows, contract).rows._jdf.queryExecution().executedPlan().toString()
+    assert text.count("CollectMetrics") == 1 and text.count("FileScan") == 1 and "Exchange" not in text
 
 
 def test_last_month_needs_no_windows_and_no_second_license_join(spark):
