@@ -157,7 +157,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def exact_sum(amount: Column) -> Column:
     """Sum of a whole table's amounts that no order of its rows can change."""
-    return F.sum(amount.cast("decimal(18,4)")).cast("double")
+    return F.sum(amount.cast(subscriptions.MONEY)).cast("double")
 
 
 # --- loading -----------------------------------------------------------------
@@ -379,15 +379,34 @@ def _observe(feed: Feed, rows: DataFrame, contract: Contract, report: quality.Co
         )
 
 
-def _profiled(feed: Feed) -> DataFrame:
-    return feed.events.select(
-        "event_id", "event_type", "user_id", "device_id", "platform", "product", "user_property_company",
-        "user_property_plan", "session_id", "country", "is_anonymous",
-    )
+def _each_source(feed: Feed, run: Callable[[DataFrame, str], DataFrame], frames: dict[str, DataFrame]) -> DataFrame:
+    parts = [run(rows, name).withColumn("table_name", F.lit(name)) for name, rows in frames.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _profiled(rows: DataFrame, name: str) -> DataFrame:
+    """All columns; amounts as decimals and times as text, which have one written form everywhere."""
+    columns = []
+    for field in rows.schema.fields:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.DoubleType):
+            column = column.cast("decimal(30,4)")
+        elif isinstance(field.dataType, T.TimestampType):
+            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        columns.append(column.alias(field.name))
+    return quality.profile(rows.select(*columns))
+
+
+def profile(feed: Feed) -> DataFrame:
+    return _each_source(feed, _profiled, _cleaned(feed))
 
 
 def duplicate_rows(feed: Feed) -> DataFrame:
-    return quality.duplicate_rows(feed.raw(EVENTS, redelivered=True))
+    return _each_source(feed, lambda rows, name: quality.duplicate_rows(rows), _raw(feed, redelivered=True))
+
+
+def infer_contract(feed: Feed) -> DataFrame:
+    return _each_source(feed, lambda rows, name: quality.infer_contract(rows, name.removeprefix("stg_")), _cleaned(feed))
 
 
 QUERIES: dict[str, Callable[[Feed], DataFrame]] = {
@@ -455,9 +474,9 @@ QUERIES: dict[str, Callable[[Feed], DataFrame]] = {
     "layer_fk_violations": lambda feed: fk_violations(feed.written),
     "layer_revenue_signal": lambda feed: marts.revenue_signal(feed.written.mrr),
     "layer_engagement_signal": lambda feed: marts.engagement_signal(feed.written.usage, PARAMS),
-    "profile": lambda feed: quality.profile(_profiled(feed)),
+    "profile": profile,
     "duplicate_rows": duplicate_rows,
-    "infer_contract": lambda feed: quality.infer_contract(_profiled(feed), "amplitude_events"),
+    "infer_contract": infer_contract,
 }
 
 

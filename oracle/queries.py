@@ -85,24 +85,72 @@ NOT_NULL_SQL = " UNION ALL ".join(
     for column in columns.split()
 )
 
-# The profiled table: cleaned events without their times and properties.
+# All columns of the cleaned sources, by kind.
 PROFILED = {
-    "event_id": "event_id", "event_type": "event_type", "user_id": "user_id", "device_id": "device_id",
-    "platform": "platform", "product": "product", "user_property_company": "user_property_company",
-    "user_property_plan": "user_property_plan", "session_id": "session_id", "country": "country",
-    "is_anonymous": "is_anonymous",
+    "stg_marketplace_licenses": (
+        "lic",
+        {
+            "number": "addon_license_id evaluation_license",
+            "amount": "days_to_convert_eval",
+            "date": "maintenance_start_date maintenance_end_date evaluation_start_date evaluation_end_date evaluation_sale_date",
+            "moment": "last_updated extracted_at loaded_at",
+            "flag": "is_evaluation is_active is_converted",
+            "text": "license_id app_entitlement_number host_license_id host_entitlement_number cloud_id "
+            "cloud_site_hostname addon_key addon_name hosting license_type status tier company country region "
+            "tech_contact_email tech_contact_name evaluation_opportunity_size",
+        },
+    ),
+    "stg_marketplace_transactions": (
+        "tx",
+        {
+            "number": "addon_license_id",
+            "amount": "purchase_price vendor_amount loyalty_discount marketplace_promotion_discount expert_discount",
+            "date": "sale_date maintenance_start_date maintenance_end_date",
+            "moment": "extracted_at loaded_at",
+            "flag": "is_zero_value is_refund",
+            "text": "transaction_id license_id app_entitlement_number addon_key addon_name hosting sale_type "
+            "billing_period tier sale_channel parent_product_name parent_product_edition",
+        },
+    ),
+    "stg_amplitude_events": (
+        "ev",
+        {
+            "number": "session_id",
+            "moment": "event_time extracted_at loaded_at",
+            "flag": "is_anonymous is_bot is_test_event",
+            "text": "event_id event_type user_id device_id platform event_source product user_property_company "
+            "user_property_plan user_property_tier country region",
+            "properties": "event_properties",
+        },
+    ),
+}
+CONTRACT_KINDS = {
+    "number": "integer", "amount": "float", "flag": "boolean", "moment": "timestamp_tz",
+    "date": "varchar", "text": "varchar", "properties": "varchar",
 }
 
 
-def profiled(column: str) -> str:
-    numeric = column == "session_id"
-    number = f"CAST({column} AS DOUBLE)" if numeric else "CAST(NULL AS DOUBLE)"
-    value = f"CAST({column} AS VARCHAR)"
-    return f"SELECT '{column}' AS column_name, {value} AS value, {number} AS number FROM ev"
+def profiled(table: str, source: str, kind: str, column: str) -> str:
+    exact = f"CAST({column} AS DECIMAL(30, 4))" if kind == "amount" else column
+    number = f"CAST({exact} AS DOUBLE)" if kind in ("number", "amount") else "CAST(NULL AS DOUBLE)"
+    value = {
+        "date": f"strftime({column}, '%Y-%m-%d')",
+        "moment": f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f')",
+        "properties": "'{\"k\":' || event_property_k || '}'",
+    }.get(kind, f"CAST({exact} AS VARCHAR)")
+    return (
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{CONTRACT_KINDS[kind]}' AS data_type, "
+        f"{value} AS value, {number} AS number FROM {source}"
+    )
 
 
-LONG = " UNION ALL ".join(profiled(column) for column in PROFILED)
-COUNTED = f"SELECT column_name, value, number, count(*) AS n FROM ({LONG}) GROUP BY ALL"
+LONG = " UNION ALL ".join(
+    profiled(table, source, kind, column)
+    for table, (source, kinds) in PROFILED.items()
+    for kind, columns in kinds.items()
+    for column in columns.split()
+)
+COUNTED = f"SELECT table_name, column_name, data_type, value, number, count(*) AS n FROM ({LONG}) GROUP BY ALL"
 
 SQL: dict[str, str] = {
     "raw_landing": f"""
@@ -323,7 +371,7 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'stg_amplitude_events', 'event_id', 2 * count(*), 'unique'
         FROM ev WHERE CAST(event_id AS BIGINT) % 500 = 0""",
     "profile": f"""
-        SELECT column_name, CAST(sum(n) AS BIGINT) AS n_rows,
+        SELECT table_name, column_name, CAST(sum(n) AS BIGINT) AS n_rows,
                CAST(coalesce(sum(n) FILTER (WHERE value IS NULL), 0) AS BIGINT) AS n_missing,
                count(value) AS n_distinct, count(value) FILTER (WHERE n = 1) AS n_unique,
                CAST(coalesce(sum(n) FILTER (WHERE trim(value) = ''), 0) AS BIGINT) AS n_blank,
@@ -334,24 +382,28 @@ SQL: dict[str, str] = {
                min(value) AS min_text, max(value) AS max_text,
                coalesce(max(n) FILTER (WHERE value IS NOT NULL), 0) AS top_count,
                arg_max(value, n * 1000000000 + place) FILTER (WHERE value IS NOT NULL) AS top_value
-        FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY value) AS place FROM ({COUNTED}))
-        GROUP BY column_name""",
+        FROM (SELECT *, row_number() OVER (PARTITION BY table_name, column_name ORDER BY value) AS place FROM ({COUNTED}))
+        GROUP BY table_name, column_name""",
     "duplicate_rows": """
-        SELECT count(*) + count(*) FILTER (WHERE CAST(event_id AS BIGINT) % 500 = 0) AS n_rows,
-               count(*) AS n_distinct_rows,
-               count(*) FILTER (WHERE CAST(event_id AS BIGINT) % 500 = 0) AS n_duplicate_rows
-        FROM ev""",
+        SELECT 'stg_marketplace_licenses' AS table_name,
+               count(*) + count(*) FILTER (WHERE addon_license_id % 37 = 0) AS n_rows,
+               count(*) + count(*) FILTER (WHERE addon_license_id % 37 = 0) AS n_distinct_rows,
+               CAST(0 AS BIGINT) AS n_duplicate_rows FROM lic
+        UNION ALL SELECT 'stg_marketplace_transactions',
+               count(*) + count(*) FILTER (WHERE CAST(transaction_id AS BIGINT) % 100 = 3), count(*),
+               count(*) FILTER (WHERE CAST(transaction_id AS BIGINT) % 100 = 3) FROM tx
+        UNION ALL SELECT 'stg_amplitude_events',
+               count(*) + count(*) FILTER (WHERE CAST(event_id AS BIGINT) % 500 = 0), count(*),
+               count(*) FILTER (WHERE CAST(event_id AS BIGINT) % 500 = 0) FROM ev""",
     "infer_contract": f"""
-        SELECT 'stg_amplitude_events' AS model, column_name,
-               CASE column_name WHEN 'session_id' THEN 'integer' WHEN 'is_anonymous' THEN 'boolean'
-                    ELSE 'varchar' END AS data_type,
-               bool_or(value IS NULL) AS nullable, max(n) FILTER (WHERE value IS NOT NULL) = 1 AS is_unique,
+        SELECT table_name, table_name AS model, column_name, any_value(data_type) AS data_type,
+               bool_or(value IS NULL) AS nullable,
+               coalesce(max(n) FILTER (WHERE value IS NOT NULL), 0) = 1 AS is_unique,
                concat_ws(',', CASE WHEN NOT bool_or(value IS NULL) THEN 'not_null' END,
-                         CASE WHEN max(n) FILTER (WHERE value IS NOT NULL) = 1 THEN 'unique' END) AS tests
-        FROM ({COUNTED}) GROUP BY column_name""",
+                         CASE WHEN coalesce(max(n) FILTER (WHERE value IS NOT NULL), 0) = 1 THEN 'unique' END) AS tests
+        FROM ({COUNTED}) GROUP BY table_name, column_name""",
 }
 
-
 # Tables that are written in layers hold the rows of their models.
 for _name in ("monthly_mrr", "trial_lifecycle", "acquisitions", "fk_violations", "revenue_signal", "engagement_signal"):
     SQL[f"layer_{_name}"] = SQL[_name]

@@ -1,8 +1,10 @@
-"""Exact median of one positive column over a whole table."""
+"""Exact medians: of one positive column over a whole table, and per group."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -53,3 +55,19 @@ def positive_median(df: DataFrame, value: str, name: str) -> DataFrame:
     )
     # One value (odd count, or both ranks equal) or two; either way their mean.
     return middle.agg(F.avg("_value").alias(name))
+
+
+def grouped_middle(keys: Sequence[str], value: str, rows: Column) -> Column:
+    """Whether a row holds a middle rank of its group, in a table with one row per group and value.
+
+    ``rows`` is how many rows the value stands for. The median is the plain
+    mean of the values that are marked: one, or two where the middle lies
+    between them. NULL values have no rank. Running ranks replace the list of
+    all values that the built-in median keeps per group.
+    """
+    ranked = F.when(F.col(value).isNotNull(), rows)
+    group = Window.partitionBy(*keys)
+    running = group.orderBy(F.col(value).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total, upto = F.sum(ranked).over(group), F.sum(ranked).over(running)
+    lower, upper = F.floor((total + 1) / 2), F.floor((total + 2) / 2)
+    return F.col(value).isNotNull() & (upto >= lower) & (upto - ranked < upper)

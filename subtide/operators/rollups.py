@@ -7,8 +7,9 @@ on the map side first, and only one row per group takes part in the join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,6 +31,22 @@ def distinct_over(df: DataFrame, keys: Sequence[str], value: str, name: str) ->
     return attach(df, totals, keys)
 
 
-def any_true(flag: Column) -> Column:
-    """Boolean OR of a group as a codegen-friendly MAX."""
-    return F.max(flag)
+
+def distinct_counts(df: DataFrame, keys: Sequence[str], values: dict[str, str], rows: str) -> DataFrame:
+    """Number of rows and exact distinct counts of several columns per group.
+
+    ``values`` maps new columns to the columns they count. Several distinct
+    counts in one aggregate would copy each row once per column. Here rows are
+    reduced to the combinations that occur, once; each count then groups those
+    by its own column alone, all from that one shuffle.
+    """
+    seen = df.groupBy(*keys, *values.values()).agg(F.count(F.lit(1)).alias("_n"))
+
+    def counted(name: str, value: str) -> DataFrame:
+        per_value = seen.groupBy(*keys, value).agg(F.sum("_n").alias("_n"))
+        others = [F.lit(0).cast("bigint").alias(other) for other in values if other != name]
+        grouped = per_value.groupBy(*keys).agg(F.count(value).alias(name), F.sum("_n").alias("_n"))
+        return grouped.select(*keys, "_n", name, *others)
+
+    parts = reduce(DataFrame.unionByName, (counted(name, value) for name, value in values.items()))
+    return parts.groupBy(*keys).agg(F.max("_n").alias(rows), *(F.sum(name).alias(name) for name in values))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from subtide.functions.dates import month_of
 from subtide.functions.text import company_key
 from subtide.operators.lookups import left_join_split, with_country_code
+from subtide.operators.rollups import distinct_counts
 
 BRIDGE = ["event_month", "product", "event_type", "company_key"]
 
@@ -93,12 +94,9 @@ def feature_usage(keyed: DataFrame, hub: DataFrame) -> DataFrame:
     per key before the bridge: the join carries one row per group instead of
     one per event, and events without a company shrink to a few rows.
     """
-    counted = keyed.groupBy(*BRIDGE).agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.count_distinct("session_id").alias("unique_sessions"),
-        F.count_distinct(F.when(F.col("is_anonymous"), F.col("device_id"))).alias("anonymous_device_count"),
-    )
+    rows = keyed.withColumn("anonymous_device", F.when(F.col("is_anonymous"), F.col("device_id")))
+    distinct = {"unique_users": "user_id", "unique_sessions": "session_id", "anonymous_device_count": "anonymous_device"}
+    counted = distinct_counts(rows, BRIDGE, distinct, "event_count")
     return bridge(counted, hub).select(
         *BRIDGE,
         "instance_id",

@@ -12,7 +12,7 @@ from subtide.functions import health
 from subtide.functions.dates import month_floor
 from subtide.functions.revenue import movement, ratio
 from subtide.functions.text import product_name
-from subtide.operators.median import positive_median
+from subtide.operators.median import grouped_middle, positive_median
 from subtide.operators.previous import previous_row
 from subtide.operators.rollups import distinct_over, rows_over
 from subtide.params import ReportParams
@@ -53,16 +53,27 @@ def trial_conversion(lifecycle: DataFrame, params: ReportParams) -> DataFrame:
     # As coded, the mart looks for a label that the trial model never gives.
     expired = outcome == "expired_no_convert" if params.literal else F.col("is_expired_no_convert")
     converted = F.col("is_converted")
-    days = F.when(converted, F.col("days_to_convert_eval"))
-    # The median keeps distinct day counts per group, of which there are few.
-    counted = lifecycle.groupBy("eval_cohort_month", "addon_key").agg(
-        F.count(F.lit(1)).alias("total_trials"),
-        F.count_if(outcome == "converted").alias("converted_count"),
-        F.count_if(expired).alias("expired_count"),
-        F.count_if(outcome == "active_trial").alias("active_trial_count"),
-        F.avg(days).alias("avg_days_to_convert"),
-        F.median(days).alias("median_days_to_convert"),
-        F.sum(F.when(converted, F.col("converted_arr")).otherwise(0.0)).alias("cohort_converted_arr"),
+    grain = ["eval_cohort_month", "addon_key"]
+    # Rows shrink to one per group and number of days, of which there are few.
+    per_days = (
+        lifecycle.withColumn("days", F.when(converted, F.col("days_to_convert_eval")))
+        .groupBy(*grain, "days")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(outcome == "converted").alias("converted_count"),
+            F.count_if(expired).alias("expired_count"),
+            F.count_if(outcome == "active_trial").alias("active_trial_count"),
+            F.sum(F.when(converted, F.col("converted_arr")).otherwise(0.0)).alias("arr"),
+        )
+    )
+    marked = per_days.withColumn("in_middle", grouped_middle(grain, "days", F.col("n")))
+    known = F.when(F.col("days").isNotNull(), F.col("n"))
+    counted = marked.groupBy(*grain).agg(
+        F.sum("n").alias("total_trials"),
+        *(F.sum(name).alias(name) for name in ("converted_count", "expired_count", "active_trial_count")),
+        (F.sum(F.col("days") * F.col("n")) / F.sum(known)).alias("avg_days_to_convert"),
+        F.avg(F.when(F.col("in_middle"), F.col("days"))).alias("median_days_to_convert"),
+        F.sum("arr").alias("cohort_converted_arr"),
     )
     resolved = F.col("converted_count") + F.col("expired_count")
     return counted.withColumn("conversion_rate", F.round(ratio(F.col("converted_count"), resolved), 4))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,6 +15,9 @@ from subtide.params import ReportParams
 
 SALE_ORDER = ["sale_date", "transaction_id"]
 
+#: Holds every amount that a DOUBLE can tell to the cent.
+MONEY = "decimal(28,6)"
+
 
 def revenue_rows(transactions: DataFrame) -> DataFrame:
     """New and renewed sales that are not refunds; an unknown price drops out."""
@@ -165,7 +166,7 @@ def annual_revenue(transactions: DataFrame, licenses: DataFrame) -> DataFrame:
         .join(owners, "addon_license_id")
         .groupBy("instance_id", "addon_key", month_of(F.col("sale_date")).alias("txn_month"))
         .agg(
-            F.sum(F.col("purchase_price").cast("decimal(18,4)")).alias("amount"),
+            F.sum(F.col("purchase_price").cast(MONEY)).alias("amount"),
             F.max(F.col("sale_type") == "NEW").alias("has_new"),
         )
     )
@@ -208,13 +209,21 @@ def cohort_spread(transactions: DataFrame, licenses: DataFrame, params: ReportPa
 
 
 def annual_cohort_matrix(transactions: DataFrame, licenses: DataFrame, params: ReportParams) -> DataFrame:
-    """Cohorts as rows, calendar months as columns."""
-    cells = []
-    for month in params.cohort_months():
-        amount = F.sum(F.when(F.col("revenue_month") == F.lit(month), F.col("amount")))
-        cells.append(F.round(amount / F.lit(Decimal(12)), 2).cast("double").alias(f"m_{month:%Y_%m}"))
-    return (
+    """Cohorts as rows, calendar months as columns.
+
+    Amounts are added up per cohort and month first. A cohort then has at most
+    one entry per month, which a map holds, and each column looks its month up.
+    """
+    by_month = (
         cohort_spread(transactions, licenses, params)
-        .groupBy("cohort_month", "addon_key")
-        .agg(F.sum("new_instances").alias("cohort_size"), *cells)
+        .groupBy("cohort_month", "addon_key", "revenue_month")
+        .agg(F.sum("amount").alias("amount"), F.sum("new_instances").alias("new_instances"))
+    )
+    entries = F.collect_list(F.struct("revenue_month", "amount"))
+    cohorts = by_month.groupBy("cohort_month", "addon_key").agg(
+        F.sum("new_instances").alias("cohort_size"), F.map_from_entries(entries).alias("amounts")
     )
+    cells = [
+        f"CAST(round(amounts[DATE '{month}'] / 12BD, 2) AS DOUBLE) AS m_{month:%Y_%m}" for month in params.cohort_months()
+    ]
+    return cohorts.selectExpr("cohort_month", "addon_key", "cohort_size", *cells)

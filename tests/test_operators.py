@@ -2,13 +2,14 @@ import random
 import statistics
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from subtide.operators.latest import latest_per_key, top_k_per_group
 from subtide.operators.lookups import left_join_split, orphans, with_country_code
-from subtide.operators.median import positive_median
+from subtide.operators.median import grouped_middle, positive_median
 from subtide.operators.previous import previous_row
-from subtide.operators.rollups import distinct_over, rows_over
+from subtide.operators.rollups import distinct_counts, distinct_over, rows_over
 from subtide.operators.spread import month_spread
 
 
@@ -137,3 +138,28 @@ def test_orphans_and_country(spark):
     places = spark.createDataFrame([(" GERMANY",), ("Narnia ",), (None,)], "country string")
     known = spark.createDataFrame([("Germany", "DE")], "country_name string, iso_code string")
     assert {r.country_iso for r in with_country_code(places, known).collect()} == {"de", "narnia", None}
+
+
+@pytest.mark.parametrize("hot", [1, 5000])
+def test_grouped_median_equals_the_built_in(spark, hot):
+    """Many groups, NULL keys and values, and one group with most rows."""
+    rows = spark.range(3000).selectExpr(
+        "IF(id % 50 = 0, NULL, id % 40) AS g", "IF(id % 9 = 0, NULL, CAST((id * 7919) % 83 AS DOUBLE)) AS v"
+    )
+    rows = rows.unionByName(spark.range(hot).selectExpr("99L AS g", "CAST(id % 31 AS DOUBLE) AS v"))
+    counted = rows.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    marked = counted.withColumn("m", grouped_middle(["g"], "v", F.col("n")))
+    got = {r.g: r.med for r in marked.groupBy("g").agg(F.avg(F.when(F.col("m"), F.col("v"))).alias("med")).collect()}
+    assert got == {r.g: r.med for r in rows.groupBy("g").agg(F.median("v").alias("med")).collect()}
+
+
+def test_distinct_counts_equal_the_built_in(spark):
+    rows = spark.range(4000).selectExpr(
+        "IF(id % 7 = 0, NULL, id % 5) AS k", "id % 3 AS j", "IF(id % 4 = 0, NULL, id % 91) AS a", "id % 13 AS b", "IF(id % 2 = 0, NULL, 'x' || id % 17) AS c"
+    )
+    got = distinct_counts(rows, ["k", "j"], {"n_a": "a", "n_b": "b", "n_c": "c"}, "n")
+    want = rows.groupBy("k", "j").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("a").alias("n_a"), F.count_distinct("b").alias("n_b"), F.count_distinct("c").alias("n_c")
+    )
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    assert distinct_counts(rows.where("false"), ["k", "j"], {"n_a": "a"}, "n").count() == 0

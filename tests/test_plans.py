@@ -101,3 +101,20 @@ def test_revenue_rows_are_never_grouped_whole(spark):
     text = plan(spark, "mrr_movement")
     windows = [line for line in text.splitlines() if "Exchange hashpartitioning(host_license_id" in line or "Exchange hashpartitioning(instance_id" in line]
     assert windows and all("sale_date" in line or "_spread" in line for line in windows)
+
+
+@pytest.mark.parametrize("name", ["feature_usage", "customers", "engagement_signal", "trial_conversion", "annual_cohort_matrix"])
+def test_distinct_counts_copy_no_rows(spark, name):
+    assert "Expand" not in plan(spark, name)
+
+
+def test_the_counts_share_one_shuffle_of_the_events(spark):
+    df = registered.queries()["feature_usage"](spark, SF_DIR)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+
+
+def test_the_cohort_matrix_looks_months_up(spark):
+    """No conditional sum per month and row."""
+    assert plan(spark, "annual_cohort_matrix").count("CASE WHEN (revenue_month") < 5
