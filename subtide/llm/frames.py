@@ -145,9 +145,9 @@ def held_out(id_column: str) -> Column:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, rows: int, text_column: str, id_column: str
-) -> tuple[list[bytes], list[int]]:
-    """Texts and labels of at most ``rows`` labelled documents outside the held-out part, in order of id.
+    docs: DataFrame, labels: DataFrame, label: str, rows: int, text_column: str, id_column: str, group_column: str | None = None
+) -> tuple[list[bytes], list[int], list[str | None]]:
+    """Texts, labels and groups (None without a column) of at most ``rows`` labelled documents outside the held-out part, in order of id.
 
     The bound is that of the training set alone: the rows with the smallest
     hash of the id. Documents without a label or an id are left out; of repeated
@@ -157,9 +157,13 @@ def labelled_sample(
         F.col(id_column).alias("_id"), F.col(label).cast("int").alias("_label")
     )
     known = known.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    texts = docs.select(F.col(id_column).alias("_id"), F.coalesce(text_column, F.lit("")).cast("binary").alias("_text"))
+    group = F.lit(None) if group_column is None else F.col(group_column)
+    texts = docs.select(
+        F.col(id_column).alias("_id"),
+        F.struct(F.coalesce(text_column, F.lit("")).cast("binary").alias("text"), group.cast("string").alias("group")).alias("_text"),
+    )
     # The broadcast side has at most ``rows`` ids and labels. One text of each id is left before rows go to the driver, and
     # grouping runs the scan as one job over all partitions; only the small result is fetched part by part.
     found = texts.join(F.broadcast(known), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_label").alias("_label"))
-    chosen = sorted((row[0], bytes(row[1]), row[2]) for row in found.toLocalIterator())
-    return [text for _, text, _ in chosen], [y for _, _, y in chosen]
+    chosen = sorted(((row[0], bytes(row[1][0]), row[2], row[1][1]) for row in found.toLocalIterator()), key=lambda r: r[0])
+    return [r[1] for r in chosen], [r[2] for r in chosen], [r[3] for r in chosen]

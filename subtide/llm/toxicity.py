@@ -2,8 +2,10 @@
 
 Words are hashed to embeddings; filters of several widths slide over them, the
 largest answer of each filter over the whole text is kept, and a logistic layer
-weighs those. Everything is trained in numpy. The threshold is calibrated for
-each language, which is guessed from function words of the text itself.
+weighs those. Everything starts from random numbers and is trained in numpy. The
+threshold is calibrated for each language, which is guessed from the text itself by
+a model of hashed letter triples; that model learns the languages of the training
+documents, and serves to group texts only.
 """
 
 from __future__ import annotations
@@ -22,25 +24,24 @@ from subtide.llm.frames import append_columns, bytes_of, filter_rows, labelled_s
 #: Labelled documents that the network is trained and calibrated on.
 SAMPLE_ROWS = 12_000
 #: An embedding is made of two halves, each found by a hash of its own.
-BUCKETS, HALF, WIDTHS, FILTERS = 1 << 16, 4, (1, 2, 3), 4
-SIZE, PAD = 2 * HALF, WIDTHS[-1] - 1
-EPOCHS, BATCH, RATE, FADE, CALIBRATION = 5, 32, 0.01, 0.001, 0.2
-#: The label is thought to be as frequent as usual in so many more documents of a bucket;
-#: buckets of fewer documents start neutral.
-PRIOR, SEEN = 4.0, 4
+BUCKETS, HALF, WIDTHS, FILTERS = 1 << 16, 4, (1, 2, 3), 8
+SIZE, PAD = 2 * HALF, WIDTHS[-1]
+#: Spread of the random start, of embeddings and filters, and the weight that each filter starts with.
+START_WORDS, START_FILTERS, START_WEIGHT = 0.02, 0.3, 0.3
+#: Passes over the sample, more over a small one: at least so many documents are seen, in 60 passes at most.
+EPOCHS, DOCUMENTS_SEEN, MOST_EPOCHS = 8, 20_000, 60
+BATCH, RATE, FADE, CALIBRATION = 32, 0.01, 0.001, 0.2
+#: Toxic documents in the sample from which on a part of it is kept for calibration alone.
+CALIBRATED_FROM = 100
+#: How much worse it is to reject a share of the clean documents than to keep the same share of the toxic ones.
+FALSE_COST = 4
 #: Toxic calibration documents that a language needs for a threshold of its own.
-OWN_THRESHOLD = 15
+OWN_THRESHOLD = 40
 #: Words that a task remembers before it starts anew.
 MEMORY = 400_000
 
-# Frequent function words.
-FUNCTION_WORDS = {
-    "de": "der die und das ist nicht den von zu mit dem auf ein eine einer für",
-    "en": "the of and to in is that for with was on are this by it",
-    "es": "el los las del que y en una por con se para su al lo",
-    "fr": "le les des et du un une dans qui que pour par au avec sur",
-}
-LANGUAGES = [*FUNCTION_WORDS, "other"]
+#: Hashes of letter triples in the language model.
+TRIPLES = 1 << 14
 
 _SEPARATE = bytes(
     b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)
@@ -52,26 +53,25 @@ def hashes(word: bytes) -> tuple[int, int]:
     return first % BUCKETS, zlib.crc32(word, first) // BUCKETS % BUCKETS
 
 
-def language_of(word: bytes) -> int:
-    return _LANGUAGE.get(word, len(FUNCTION_WORDS))
-
-
-_LANGUAGE = {word.encode(): n for n, words in enumerate(FUNCTION_WORDS.values()) for word in words.split()}
+def triples(word: bytes) -> list[int]:
+    """Hashes of the letter triples of a word with its ends marked."""
+    marked = b"^" + word + b"$"
+    return [zlib.crc32(marked[n : n + 3]) % TRIPLES for n in range(len(marked) - 2)]
 
 
 class Words(dict):
-    """Number of each word, with its hashes and language; number 0 is the empty place after a text."""
+    """Number of each word and its hashes; number 0 is the empty place after a text."""
 
     def __init__(self):
         self.first, self.second = array("i", [0]), array("i", [0])
-        self.language = array("b", [len(FUNCTION_WORDS)])
+        self.spelled: list[bytes] = [b""]
 
     def __missing__(self, word):
-        code = self[word] = len(self.language)
+        code = self[word] = len(self.spelled)
         first, second = hashes(word)
         self.first.append(first)
         self.second.append(second)
-        self.language.append(language_of(word))
+        self.spelled.append(word)
         return code
 
     def pairs(self, start: int = 0) -> np.ndarray:
@@ -88,12 +88,41 @@ class Words(dict):
         return np.array(codes, np.int64), np.array(begins, np.int64)
 
 
-def languages(language: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Language with the most function words in each text; none: other."""
-    k = len(LANGUAGES)
-    doc = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
-    counts = np.bincount(doc * k + language, minlength=k * (len(begins) - 1)).reshape(-1, k)[:, :-1]
-    return np.where(counts.max(axis=1) > 0, counts.argmax(axis=1), k - 1)
+class Languages:
+    """How likely letter triples are in each language; texts without words are a group of their own."""
+
+    def __init__(self, names: list[str], log_chance: np.ndarray):
+        self.names, self.log_chance = names, log_chance  # (languages, TRIPLES)
+
+    @classmethod
+    def fit(cls, words: Words, docs: list[np.ndarray], known: list[str | None]) -> Languages:
+        names = sorted({name for name in known if name is not None})
+        counts = np.full((len(names), TRIPLES), 0.5)
+        lists = [triples(word) for word in words.spelled]
+        word = np.repeat(np.arange(len(lists)), list(map(len, lists)))
+        triple = np.array([t for own in lists for t in own], np.int64)
+        for n, name in enumerate(names):
+            codes = np.concatenate([doc for doc, own in zip(docs, known) if own == name])
+            often = np.bincount(codes, minlength=len(lists)).astype(float)
+            often[0] = 0
+            counts[n] += np.bincount(triple, often[word], TRIPLES)
+        return cls(names, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
+
+    def of_words(self, spelled: list[bytes]) -> np.ndarray:
+        """Log likelihood of each word by language; the empty place has none."""
+        lists = [triples(word) if word else [] for word in spelled]
+        flat = np.array([t for own in lists for t in own], np.int64)
+        sums = np.concatenate([np.zeros((1, len(self.names))), np.cumsum(self.log_chance[:, flat].T, axis=0, dtype=np.float64)])
+        ends = np.cumsum(list(map(len, lists)))
+        return (sums[ends] - sums[np.concatenate([[0], ends[:-1]]).astype(np.int64)]).astype(np.float32)
+
+    def guess(self, likelihoods: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Number of the likeliest language of each text, by the likelihoods of its words."""
+        none = np.full(len(begins) - 1, len(self.names))
+        if not self.names or not len(none):
+            return none
+        sums = np.add.reduceat(likelihoods, begins[:-1], axis=0, dtype=np.float64)
+        return np.where(sums.any(axis=1), sums.argmax(axis=1), none)
 
 
 @dataclass
@@ -103,7 +132,8 @@ class Network:
     bias: np.ndarray  # of the filters
     weights: np.ndarray
     offset: float
-    thresholds: np.ndarray = field(default_factory=lambda: np.zeros(len(LANGUAGES)))
+    languages: Languages = field(default_factory=lambda: Languages([], np.zeros((0, TRIPLES), np.float32)))
+    thresholds: np.ndarray = field(default_factory=lambda: np.zeros(1))  # by language, then of texts without words
 
     def vectors(self, pairs: np.ndarray) -> np.ndarray:
         return np.concatenate([self.embedding[0][pairs[:, 0]], self.embedding[1][pairs[:, 1]]], axis=1)
@@ -122,14 +152,14 @@ class Scorer:
 
     def forget(self) -> None:
         self.words = Words()
-        self.language = np.full(1, len(FUNCTION_WORDS))
+        self.likelihoods = np.zeros((1, len(self.net.languages.names)), np.float32)
         self.answers = [np.zeros(1, np.float32) for width in WIDTHS for _ in range(width * FILTERS)]
 
     def _learn(self) -> None:
-        known = len(self.language)
-        if known == len(self.words.language):
+        known = len(self.likelihoods)
+        if known == len(self.words.spelled):
             return
-        self.language = np.append(self.language, self.words.language[known:])
+        self.likelihoods = np.concatenate([self.likelihoods, self.net.languages.of_words(self.words.spelled[known:])])
         vectors = self.net.vectors(self.words.pairs(known))
         added = np.concatenate([vectors @ part for w in self.net.filters for part in w], axis=1)
         self.answers = [np.append(old, column) for old, column in zip(self.answers, added.T)]
@@ -153,10 +183,11 @@ class Scorer:
                 answer = self.answers[column + f][codes]
                 for place in range(1, width):
                     answer[:-place] += self.answers[column + place * FILTERS + f][codes[place:]]
-                # Texts end in empty places, so each has an answer; of one without words it is zero.
+                    answer[begins[1:] - place] = -np.inf
+                # Texts end in empty places, so each has an answer, and none reaches into the next text.
                 best[:, n * FILTERS + f] = np.maximum.reduceat(answer, begins[:-1])
             column += width * FILTERS
-        return self.net.output(best).astype(np.float64), languages(self.language[codes], begins)
+        return self.net.output(best).astype(np.float64), self.net.languages.guess(self.likelihoods[codes], begins)
 
 
 class Adam:
@@ -181,6 +212,7 @@ def _train_batch(net: Network, docs: list[np.ndarray], y: np.ndarray, importance
         answers = vectors @ w[0]
         for place in range(1, len(w)):
             answers[:-place] += vectors[place:] @ w[place]
+            answers[ends - place] = -np.inf
         own, begin = slice(n * FILTERS, (n + 1) * FILTERS), 0
         for d, end in enumerate(ends):
             at[d, own] = begin + answers[begin:end].argmax(axis=0)
@@ -216,57 +248,50 @@ def _train_batch(net: Network, docs: list[np.ndarray], y: np.ndarray, importance
 
 
 def _threshold(z: np.ndarray, y: np.ndarray) -> float:
-    """Logit that parts the labels best (rates of both count the same); the middle, if a range does."""
+    """Logit that parts the labels best, by the rate found less FALSE_COST times the rate of false alarms; the middle, if a range does."""
     order = np.argsort(-z, kind="stable")
-    gain = np.cumsum(y[order] / max(y.sum(), 1) - (1 - y[order]) / max((1 - y).sum(), 1))
+    gain = np.cumsum(y[order] / max(y.sum(), 1) - FALSE_COST * (1 - y[order]) / max((1 - y).sum(), 1))
     at = np.flatnonzero(gain >= gain.max() - 1e-9)[0]
     upper, lower = z[order[at]], z[order[at + 1]] if at + 1 < len(z) else z[order[at]] - 1
     return float((upper + lower) / 2)
 
 
-def _log_odds(docs: list[np.ndarray], bucket: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """How much more often than usual documents with a bucket are toxic."""
-    share = y.mean()
-    seen, toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for codes, label in zip(docs, y):
-        own = np.unique(bucket[codes[:-PAD]])
-        seen[own] += 1
-        toxic[own] += label
-    rate = (toxic + PRIOR * share) / (seen + PRIOR)
-    odds = np.log(rate / (1 - rate)) - np.log(share / (1 - share))
-    return np.where(seen >= SEEN, odds, 0)
-
-
-def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Network:
-    """Train and calibrate. Without both labels, no text is toxic."""
+def random_network(seed: int) -> Network:
+    """The network before it has learned anything."""
     rng = np.random.default_rng(seed)
     n_filters = FILTERS * len(WIDTHS)
-    net = Network(
-        rng.normal(0, 0.02, (2, BUCKETS, HALF)).astype(np.float32),
-        [rng.normal(0, 0.2, (width, SIZE, FILTERS)).astype(np.float32) for width in WIDTHS],
-        np.full(n_filters, -1.0, np.float32),
-        np.full(n_filters, 0.3, np.float32),
+    return Network(
+        rng.normal(0, START_WORDS, (2, BUCKETS, HALF)).astype(np.float32),
+        [rng.normal(0, START_FILTERS, (width, SIZE, FILTERS)).astype(np.float32) for width in WIDTHS],
+        np.zeros(n_filters, np.float32),
+        np.full(n_filters, START_WEIGHT, np.float32),
         -2.0,
     )
+
+
+def fit(
+    texts: list[bytes], labels: list[int], known: list[str | None] | None = None, seed: int = 7, epochs: int | None = None
+) -> Network:
+    """Train and calibrate. ``known`` are the texts' languages, if they are known.
+
+    Without both labels, no text is toxic. ``epochs`` of 0 calibrates the random start.
+    """
+    rng = np.random.default_rng(seed)
+    net = random_network(seed)
     y = np.array(labels, np.float32)
     if not (y == 1).any() or not (y == 0).any():
         net.weights[:], net.embedding[:] = 0, 0
         return net
-    words, docs = Words(), []
-    for text in texts:
-        codes, _ = words.read([text])
-        docs.append(codes.astype(np.int32))
+    words = Words()
+    docs = [words.read([text])[0].astype(np.int32) for text in texts]
     pairs = words.pairs()
     order = rng.permutation(len(docs))
-    n_held = int(len(docs) * CALIBRATION) if y.sum() >= 100 else 0
+    n_held = int(len(docs) * CALIBRATION) if y.sum() >= CALIBRATED_FROM else 0
     held, used = order[:n_held], order[n_held:]
-    # The first number of each half starts from the labels, and the first filters read it.
-    for half in (0, 1):
-        net.embedding[half][:, 0] = _log_odds([docs[d] for d in used], pairs[:, half], y[used])
-    for w in net.filters:
-        w[:, ::HALF, : FILTERS // 2] = 0.5 / len(w)
     importance = np.where(y == 1, min(5.0, float((y == 0).sum() / y.sum()) ** 0.5), 1.0)
-    adam, epochs = Adam(), max(EPOCHS, min(30, 10_000 // max(len(used), 1)))
+    if epochs is None:
+        epochs = max(EPOCHS, min(MOST_EPOCHS, DOCUMENTS_SEEN // len(used)))
+    adam = Adam()
     for epoch in range(epochs):
         adam.rate = RATE * (1 - epoch / epochs) + 1e-4
         order = rng.permutation(used)
@@ -274,7 +299,8 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Network:
             some = order[at : at + BATCH]
             _train_batch(net, [pairs[docs[d]] for d in some], y[some], importance[some], adam)
             # Words that no label speaks for fade, so that long texts of new words stay neutral.
-            net.embedding[:, :, 1:] *= 1 - FADE
+            net.embedding *= 1 - FADE
+    net.languages = Languages.fit(words, docs, known or [None] * len(docs))
     judged = held if n_held and y[held].any() and not y[held].all() else used
     scorer, parts = Scorer(net), []
     scorer.words = words
@@ -282,17 +308,30 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Network:
         some = [docs[d] for d in judged[at : at + 500]]
         parts.append(scorer.logits(np.concatenate(some), np.cumsum([0, *map(len, some)])))
     z, language = (np.concatenate([part[n] for part in parts]) for n in (0, 1))
-    net.thresholds[:] = _threshold(z, y[judged])
-    for n in range(len(LANGUAGES)):
+    net.thresholds = np.full(len(net.languages.names) + 1, _threshold(z, y[judged]))
+    for n in range(len(net.thresholds)):
         own = language == n
         if y[judged][own].sum() >= OWN_THRESHOLD and (1 - y[judged][own]).sum() >= OWN_THRESHOLD:
             net.thresholds[n] = _threshold(z[own], y[judged][own])
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, text_column: str = "text", id_column: str = "doc_id") -> Network:
-    """Fit on at most ``rows`` labelled documents outside the held-out fifth."""
-    return fit(*labelled_sample(docs, labels, "toxic", rows, text_column, id_column))
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    rows: int = SAMPLE_ROWS,
+    text_column: str = "text",
+    id_column: str = "doc_id",
+    language_column: str = "lang",
+) -> Network:
+    """Fit on at most ``rows`` labelled documents outside the held-out fifth.
+
+    Rows without an id or a label of 0 or 1 are not learned from; of repeated ids
+    one row counts. The language column of these documents, where there is one,
+    teaches the grouping of texts for thresholds; scores see the text alone.
+    """
+    group = language_column if language_column in docs.columns else None
+    return fit(*labelled_sample(docs, labels, "toxic", rows, text_column, id_column, group))
 
 
 SCORE = [T.StructField("score", T.DoubleType(), False), T.StructField("predicted", T.IntegerType(), False)]
