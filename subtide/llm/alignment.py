@@ -18,7 +18,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, count
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +63,8 @@ class BytePieces:
         self.fast = tiktoken.Encoding(
             "pieces", pat_str=PRE_TOKEN, mergeable_ranks={self.tokens[n]: n for n in plain.values()}, special_tokens={}
         )
-        self.path = path
+        self.path, self.exact = path, True
+        self.sizes = np.array(list(map(len, self.tokens)), np.int64)
 
     @property
     def library(self) -> Tokenizer:
@@ -73,8 +74,8 @@ class BytePieces:
         tokenizer.encode_special_tokens = True
         return tokenizer
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [self._encode(text) for text in texts]
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(self._encode(text), np.int64) for text in texts]
 
     def _encode(self, text: str) -> list[int]:
         try:
@@ -91,13 +92,14 @@ class SentencePieces:
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.tokens = [self._bytes(n) for n in range(self.model.get_piece_size())]
+        self.sizes, self.exact = np.array(list(map(len, self.tokens)), np.int64), False
 
     def _bytes(self, number: int) -> bytes:
         piece = self.model.id_to_piece(number)
         return bytes([int(piece[1:-1], 16)]) if self.model.is_byte(number) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(own, np.int64) for own in self.model.encode(texts, num_threads=1)]
 
 
 @lru_cache(maxsize=2)
@@ -113,16 +115,27 @@ def sentence_pieces(path: str) -> SentencePieces:
 # --- one document ------------------------------------------------------------
 
 
-def common_cuts(lengths_a: list[int], lengths_b: list[int]) -> tuple[list[int], list[int]]:
-    """Numbers of tokens of either side up to each byte offset where tokens of both end, in order."""
-    ends_a, ends_b = dict(zip(accumulate(lengths_a), count(1))), dict(zip(accumulate(lengths_b), count(1)))
-    common = sorted(ends_a.keys() & ends_b.keys())
-    return [ends_a[end] for end in common], [ends_b[end] for end in common]
+def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of tokens of either side up to each byte offset where tokens of both end, in order.
+
+    ``ends_a`` and ``ends_b`` are the byte offsets where the tokens of either side end.
+    """
+    number_a, number_b = (dict(zip(ends.tolist(), range(1, len(ends) + 1))) for ends in (ends_a, ends_b))
+    # Ends that are keys of both; those of B come in order already, so sorting them is one look at each.
+    common = sorted(filter(number_a.__contains__, number_b))
+    return tuple(np.fromiter(map(number.__getitem__, common), np.int64, len(common)) for number in (number_a, number_b))
 
 
 # --- a block of documents ----------------------------------------------------
 
 
+def _gives(side, ids: np.ndarray, ends: np.ndarray, data: bytes) -> bool:
+    """Whether the tokens joined are ``data``. Byte-level BPE cuts bytes and never changes one, so there the length tells."""
+    if not len(ends) or ends[-1] != len(data):
+        return False
+    return side.exact or b"".join(map(side.tokens.__getitem__, ids.tolist())) == data
+
+
 class Block:
     """Alignment of all documents of a block.
 
@@ -135,19 +148,18 @@ class Block:
         self.n_docs, self.size_b = len(texts), len(side_b.tokens)
         chosen = [n for n, text in enumerate(texts) if text]
         spaced = [" " + texts[n] for n in chosen]
-        bytes_a, bytes_b = side_a.tokens, side_b.tokens
-        sizes_a, sizes_b = list(map(len, bytes_a)), list(map(len, bytes_b))
         ids_a, ids_b, a, b, doc = [], [], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], []
         n_a = n_b = 0
         for n, text, own_a, own_b in zip(chosen, spaced, side_a.encode(spaced), side_b.encode([texts[n] for n in chosen])):
             data = text.encode()
-            if b"".join(map(bytes_b.__getitem__, own_b)) != data or b"".join(map(bytes_a.__getitem__, own_a)) != data:
+            ends_a, ends_b = np.cumsum(side_a.sizes[own_a]), np.cumsum(side_b.sizes[own_b])
+            if not (_gives(side_b, own_b, ends_b, data) and _gives(side_a, own_a, ends_a, data)):
                 continue
-            cuts_a, cuts_b = common_cuts(list(map(sizes_a.__getitem__, own_a)), list(map(sizes_b.__getitem__, own_b)))
-            a.append(np.array(cuts_a, np.int64) + n_a)
-            b.append(np.array(cuts_b, np.int64) + n_b)
-            ids_a.append(np.array(own_a, np.int64))
-            ids_b.append(np.array(own_b, np.int64))
+            cuts_a, cuts_b = common_cuts(ends_a, ends_b)
+            a.append(cuts_a + n_a)
+            b.append(cuts_b + n_b)
+            ids_a.append(own_a)
+            ids_b.append(own_b)
             doc.append(np.full(len(cuts_a), n, np.int64))
             n_a, n_b = n_a + len(own_a), n_b + len(own_b)
         none = [np.empty(0, np.int64)]
@@ -179,15 +191,16 @@ class Block:
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The block's sorted id pairs; document, place in that list and number of links of each document's pairs."""
         docs, keys, times = self.links()
-        known, place = np.unique(keys, return_inverse=True)
-        codes = docs * max(1, len(known)) + place
-        if len(codes) and (times == 1).all():
+        span = (int(keys.max()) if len(keys) else 0) + 1
+        codes = docs * span + keys
+        if (times == 1).all():
             distinct, number = np.unique(codes, return_counts=True)
         else:
             distinct, first = np.unique(codes, return_inverse=True)
             number = np.zeros(len(distinct), np.int64)
             np.add.at(number, first, times)
-        return known, distinct // max(1, len(known)), distinct % max(1, len(known)), number
+        known, place = np.unique(distinct % span, return_inverse=True)
+        return known, distinct // span, place, number
 
     def written(self, names: list[str]) -> list[str]:
         """Groups of each document as text, ids in order: ``a1,a2|b1;a3|b2,b3``; '' without groups."""
