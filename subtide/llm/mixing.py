@@ -32,7 +32,7 @@ ROUNDS = 20
 CELL_ROWS = 500
 
 #: Slots that one row of the plan stands for, and slots of a partition, at most.
-SLOTS_PER_ROW, SLOTS_PER_PARTITION = 4096, 1 << 20
+SLOTS_PER_ROW, SLOTS_PER_PARTITION = 4096, 1 << 16
 
 
 @dataclass
@@ -235,7 +235,8 @@ def mix(
     blocks = materialized(_blocks(_streams(documents, sources), block_words, with_text), "blocks")
     counts = shard_counts([quota for _, quota in quotas], shards, seed)
     slots = _slots(spark, counts, [own for own, _ in quotas], seed)
-    return Mixture(documents, sources, blocks, slots.join(blocks, ["sid", "block"]))
+    # The plan of the slots is small whatever their number, so Spark must not take its size for theirs.
+    return Mixture(documents, sources, blocks, slots.hint("merge").join(blocks, ["sid", "block"]))
 
 
 def taken_words(mixture: Mixture) -> DataFrame:

@@ -240,7 +240,8 @@ def near_words(words: DataFrame) -> DataFrame:
     left = blocks.select("cell", "part", F.col("words").alias("l"))
     right = blocks.select(F.col("cell").alias("other"), F.col("part").alias("other_part"), F.col("words").alias("r"))
     same = (F.col("cell") == F.col("other")) & (F.col("part") == F.col("other_part"))
-    joined = units.select("cell", "part", "other", "other_part").join(left, ["cell", "part"])
+    # Pairs of blocks are more than their plan's size tells, so they are not to be broadcast.
+    joined = units.select("cell", "part", "other", "other_part").hint("merge").join(left, ["cell", "part"])
     # The work of a task is far more than its bytes say, so the number of partitions is given.
     joined = joined.repartition(partitions, "other", "other_part").join(
         right.repartition(partitions, "other", "other_part"), ["other", "other_part"]

@@ -121,6 +121,11 @@ def test_the_mix_keeps_its_promises(spark):
     assert texts == {(s.shard, s.place): " ".join(p.text for p in s.pieces) for s in slots}
 
 
+def test_slots_are_never_broadcast(spark):
+    text = mixing.mix(many(spark, 50)).mixed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [sid" in text and "Broadcast" not in text
+
+
 def test_partitions_do_not_change_the_mix(spark):
     docs = many(spark)
     results = [Counter(map(tuple, mixing.taken_words(mixing.mix(d)).collect())) for d in (docs.repartition(7, "text"), docs.coalesce(1))]
