@@ -53,10 +53,14 @@ def hashes(word: bytes) -> tuple[int, int]:
     return first % BUCKETS, zlib.crc32(word, first) // BUCKETS % BUCKETS
 
 
-def triples(word: bytes) -> list[int]:
-    """Hashes of the letter triples of a word with its ends marked."""
-    marked = b"^" + word + b"$"
-    return [zlib.crc32(marked[n : n + 3]) % TRIPLES for n in range(len(marked) - 2)]
+def triples(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the letter triples of all words, their ends marked, and how many each word has; the empty place has none."""
+    flat, counts = array("i"), array("i")
+    for word in words:
+        marked = b"^" + word + b"$" if word else b""
+        flat.extend(zlib.crc32(marked[n : n + 3]) % TRIPLES for n in range(len(marked) - 2))
+        counts.append(max(len(marked) - 2, 0))
+    return np.array(flat, np.int32), np.array(counts, np.int32)
 
 
 class Words(dict):
@@ -98,22 +102,21 @@ class Languages:
     def fit(cls, words: Words, docs: list[np.ndarray], known: list[str | None]) -> Languages:
         names = sorted({name for name in known if name is not None})
         counts = np.full((len(names), TRIPLES), 0.5)
-        lists = [triples(word) for word in words.spelled]
-        word = np.repeat(np.arange(len(lists)), list(map(len, lists)))
-        triple = np.array([t for own in lists for t in own], np.int64)
+        triple, lengths = triples(words.spelled if names else [])
+        word = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         for n, name in enumerate(names):
             codes = np.concatenate([doc for doc, own in zip(docs, known) if own == name])
-            often = np.bincount(codes, minlength=len(lists)).astype(float)
-            often[0] = 0
+            often = np.bincount(codes, minlength=len(lengths)).astype(float)
             counts[n] += np.bincount(triple, often[word], TRIPLES)
         return cls(names, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
 
     def of_words(self, spelled: list[bytes]) -> np.ndarray:
         """Log likelihood of each word by language; the empty place has none."""
-        lists = [triples(word) if word else [] for word in spelled]
-        flat = np.array([t for own in lists for t in own], np.int64)
+        if not self.names:
+            return np.zeros((len(spelled), 0), np.float32)
+        flat, lengths = triples(spelled)
         sums = np.concatenate([np.zeros((1, len(self.names))), np.cumsum(self.log_chance[:, flat].T, axis=0, dtype=np.float64)])
-        ends = np.cumsum(list(map(len, lists)))
+        ends = np.cumsum(lengths)
         return (sums[ends] - sums[np.concatenate([[0], ends[:-1]]).astype(np.int64)]).astype(np.float32)
 
     def guess(self, likelihoods: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -302,11 +305,11 @@ def fit(
             net.embedding *= 1 - FADE
     net.languages = Languages.fit(words, docs, known or [None] * len(docs))
     judged = held if n_held and y[held].any() and not y[held].all() else used
-    scorer, parts = Scorer(net), []
-    scorer.words = words
+    del words, docs, pairs, adam
+    parts = []
     for at in range(0, len(judged), 500):
-        some = [docs[d] for d in judged[at : at + 500]]
-        parts.append(scorer.logits(np.concatenate(some), np.cumsum([0, *map(len, some)])))
+        scorer = Scorer(net)
+        parts.append(scorer.logits(*scorer.words.read([texts[d] for d in judged[at : at + 500]])))
     z, language = (np.concatenate([part[n] for part in parts]) for n in (0, 1))
     net.thresholds = np.full(len(net.languages.names) + 1, _threshold(z, y[judged]))
     for n in range(len(net.thresholds)):
