@@ -39,7 +39,8 @@ CLOSES_P = BLOCK_TAGS - {"body", "button", "head", "html", "option", "caption",
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<({'|'.join(SILENT_TAGS)})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"<>]*\"|'[^'<>]*')*)>"
+    # A quote opens a value only behind an equals sign; quoted values may hold any character.
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+)>"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
@@ -334,7 +335,7 @@ def training_pages(sample: list[str], seed: int = 7) -> list[tuple[list[Block],
         given.append((blocks, markup_labels(blocks)))
     labelled = [(b, y) for b, y in given if any(y)]
     mains = [[x.text for x, label in zip(b, y) if label] for b, y in labelled]
-    foreign = [text for texts in mains for text in texts][:2000]
+    foreign = [text for texts in mains for text in texts]
     out = list(labelled)
     for n, (blocks, y) in enumerate(labelled):
         other = [x.text for x, label in zip(blocks, y) if not label] or ["more"]

@@ -1,9 +1,12 @@
 """Licence scan: texts against licence templates by Dice coefficient over word bigrams.
 
-The units of a document are its whole text and each of its lines. Both sides are
-normalised (words of lower-case letters and digits). The coefficient of a unit
-and a template cannot exceed twice the smaller number of bigrams over the sum of
-both, so a template is looked at only where the sizes allow the threshold.
+The units of a document are its whole text and each of its lines, and for each
+template the windows of as many consecutive words as it has, from every word on;
+these find a notice wrapped over lines, behind comment marks or amid other text.
+Both sides are normalised (words of lower-case letters and digits). The coefficient
+of a unit and a template cannot exceed twice the smaller number of bigrams over the
+sum of both, so a template is looked at only where the sizes allow the threshold; a
+window only where enough of its bigrams occur in the template.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -52,6 +56,7 @@ FIELDS = [
     T.StructField("licence", T.StringType(), False),
     T.StructField("dice", T.DoubleType(), False),
     T.StructField("n_units", T.LongType(), False),
+    T.StructField("n_windows", T.LongType(), False),
 ]
 
 
@@ -69,6 +74,12 @@ class Matcher:
         self.names = [name for _, name, _ in counted]
         self.bigrams = [own for _, _, own in counted]
         self.known = {word for own in self.bigrams for pair in own for word in pair}
+        self.codes = {pair: n for n, pair in enumerate(sorted({pair for own in self.bigrams for pair in own}))}
+        # Occurrences of each coded bigram in each template; the last column stands for all others.
+        self.counts = np.zeros((len(self.names), len(self.codes) + 1), int)
+        for row, own in zip(self.counts, self.bigrams):
+            for pair, n in own.items():
+                row[self.codes[pair]] = n
 
     def best(self, text: bytes) -> tuple[float, str]:
         """Highest coefficient of at least the threshold, and its template (the first by name)."""
@@ -89,9 +100,52 @@ class Matcher:
                 best = (dice, name)
         return best
 
+    def windows(self, text: bytes) -> tuple[int, tuple[float, str]]:
+        """Number of windows that reach the threshold, over all templates, and the best of them (the first by name)."""
+        words = words_of(text)
+        get, n, best = self.codes.get, len(words) - 1, (0.0, "")
+        coded = [get(pair, -1) for pair in zip(words, words[1:])]
+        if n < 1 or not self.sizes or n - coded.count(-1) < self.threshold * self.sizes[0] - 1e-9:
+            return 0, best
+        places, found = np.array(coded), 0
+        for size, name, counts in zip(self.sizes, self.names, self.counts):
+            if size > n:
+                break
+            upto = np.concatenate([[0], np.cumsum(counts[places] > 0)])
+            likely = np.flatnonzero(upto[size:] - upto[:-size] >= self.threshold * size - 1e-9)
+            if len(likely):
+                shared = shared_bigrams(coded, counts.tolist(), size, likely.tolist())
+                reached = [dice for dice in (s / size for s in shared) if dice >= self.threshold]
+                found += len(reached)
+                top = max(reached, default=0.0)
+                if reached and (not best[1] or top > best[0] or top == best[0] and name < best[1]):
+                    best = (top, name)
+        return found, best
+
+
+def shared_bigrams(coded: list[int], counts: list[int], size: int, starts: list[int]) -> list[int]:
+    """Bigrams that the windows of ``size`` bigrams from ``starts`` (ascending) share with a template, repeats counted.
+
+    A window is made from the one before it by what leaves and what enters.
+    """
+    out, own, shared, begin, end = [], [0] * len(counts), 0, 0, 0
+    for start in starts:
+        if start >= end:
+            own, shared, begin, end = [0] * len(counts), 0, start, start
+        for code in coded[begin:start]:
+            shared -= own[code] <= counts[code]
+            own[code] -= 1
+        for code in coded[end : start + size]:
+            own[code] += 1
+            shared += own[code] <= counts[code]
+        begin, end = start, start + size
+        out.append(shared)
+    return out
+
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, text_column: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Append ``licence`` (best template, empty if none), ``dice`` and ``n_units`` (lines and whole text that match).
+    """Append ``licence`` (best template, empty if none), ``dice``, ``n_units`` (lines and whole text that match) and
+    ``n_windows`` (windows that match).
 
     Null texts count as empty and match nothing; units of fewer than two words
     neither. Ties go to the first name. Input columns with these names give way.
@@ -106,9 +160,11 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
                 lines = text.split(b"\n")
                 units = [matcher.best(unit) for unit in (lines if len(lines) == 1 else [text, *lines])]
                 hits = [u for u in units if u[1]]
-                found.append((*min(hits, key=lambda u: (-u[0], u[1]), default=(0.0, "")), len(hits)))
-            dice, names, counts = zip(*found) if found else ((), (), ())
-            return [pa.array(names, pa.string()), pa.array(dice, pa.float64()), pa.array(counts, pa.int64())]
+                n_windows, top = matcher.windows(text)
+                best = min([*hits, top] if top[1] else hits, key=lambda u: (-u[0], u[1]), default=(0.0, ""))
+                found.append((*best, len(hits), n_windows))
+            dice, names, counts, windows = zip(*found) if found else ((), (), (), ())
+            return [pa.array(names, pa.string()), pa.array(dice, pa.float64()), pa.array(counts, pa.int64()), pa.array(windows, pa.int64())]
 
         return compute
 

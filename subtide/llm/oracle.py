@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from subtide.llm.licences import TEMPLATES, THRESHOLD
-from subtide.llm.quality_rules import BITS, FENCE, MEASURES
+from subtide.llm.quality_rules import BITS, FENCE, MEASURES, MIN_DOCS, TAILS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -60,12 +60,23 @@ pairs AS (
   FROM ub JOIN tb USING (w) GROUP BY uid, name),
 best AS (SELECT uid, max(dice) AS dice FROM pairs WHERE dice >= {THRESHOLD}::DOUBLE GROUP BY uid),
 named AS (SELECT uid, dice, min(name) AS name FROM best JOIN pairs USING (uid, dice) GROUP BY uid, dice),
-per_doc AS (
-  SELECT rid, count(*) AS n_units, max(dice) AS dice FROM named JOIN units USING (uid) GROUP BY rid),
-chosen AS (
-  SELECT rid, per_doc.dice, n_units, min(name) AS name
-  FROM per_doc JOIN units USING (rid) JOIN named ON named.uid = units.uid AND named.dice = per_doc.dice GROUP BY ALL)
-SELECT doc_id, coalesce(name, '') AS licence, round(coalesce(dice, 0::DOUBLE), 6) AS dice, coalesce(n_units, 0)::BIGINT AS n_units
+places AS (
+  SELECT rid, q, n, ws[q] || ' ' || ws[q + 1] AS w
+  FROM (SELECT rid, ws, len(ws) - 1 AS n, unnest(range(1, len(ws))) AS q FROM (SELECT rid, {_plain_words("text")} AS ws FROM d) WHERE len(ws) > 1)),
+covered AS (
+  SELECT rid, name, tb.n AS m, w, tb.c AS c, unnest(range(greatest(1, q - tb.n + 1), least(q, places.n - tb.n + 1) + 1)) AS p
+  FROM places JOIN tb USING (w) WHERE places.n >= tb.n),
+windows AS (
+  SELECT rid, name, p, sum(least(k, c))::DOUBLE / any_value(m) AS dice
+  FROM (SELECT rid, name, p, w, any_value(m) AS m, any_value(c) AS c, count(*) AS k FROM covered GROUP BY rid, name, p, w)
+  GROUP BY rid, name, p),
+hits AS (
+  SELECT rid, name, dice, 1 AS u, 0 AS v FROM named JOIN units USING (uid)
+  UNION ALL SELECT rid, name, dice, 0, 1 FROM windows WHERE dice >= {THRESHOLD}::DOUBLE),
+per_doc AS (SELECT rid, sum(u) AS n_units, sum(v) AS n_windows, max(dice) AS dice FROM hits GROUP BY rid),
+chosen AS (SELECT rid, dice, n_units, n_windows, min(name) AS name FROM per_doc JOIN hits USING (rid, dice) GROUP BY ALL)
+SELECT doc_id, coalesce(name, '') AS licence, round(coalesce(dice, 0::DOUBLE), 6) AS dice, coalesce(n_units, 0)::BIGINT AS n_units,
+  coalesce(n_windows, 0)::BIGINT AS n_windows
 FROM d LEFT JOIN chosen USING (rid)
 """
 
@@ -99,18 +110,27 @@ v AS (
   FROM f, LATERAL (SELECT * FROM (VALUES {_PER_THOUSAND}) AS t(measure, v, least)) AS u),
 bins AS (
   SELECT *, (1::BIGINT << greatest(length(bin(v)) - {BITS}, 0)) AS step FROM v WHERE NOT base_failed),
-sketch AS (SELECT lang, source, measure, least, step * (v // step) AS b, count(*) AS n FROM bins GROUP BY ALL),
+scoped AS (
+  SELECT rid, measure, least, step * (v // step) AS b, lvl,
+    CASE WHEN lvl > 0 THEN coalesce('=' || lang, '') ELSE '' END AS l, CASE WHEN lvl > 1 THEN coalesce('=' || source, '') ELSE '' END AS s
+  FROM bins, (VALUES (0), (1), (2)) AS levels(lvl)),
 ranked AS (
-  SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY b) AS upto,
-    sum(n) OVER (PARTITION BY lang, source, measure) AS total FROM sketch),
-quartiles AS (
-  SELECT lang, source, measure, least, min(b) FILTER (upto * 4 >= total) AS q1, min(b) FILTER (upto * 4 >= total * 3) AS q3
+  SELECT *, row_number() OVER (PARTITION BY lvl, l, s, measure ORDER BY b) AS rn,
+    count(*) OVER (PARTITION BY lvl, l, s, measure) AS total FROM scoped),
+marks AS (
+  SELECT lvl, l, s, measure, least, total, min(b) FILTER (rn * 100 >= total * 25) AS q25,
+    min(b) FILTER (rn * 100 >= total * 50) AS middle, min(b) FILTER (rn * 100 >= total * 75) AS q75,
+    min(b) FILTER (rn * 100 >= total * {TAILS[0]}) AS lowest, min(b) FILTER (rn * 100 >= total * {TAILS[1]}) AS highest
   FROM ranked GROUP BY ALL),
-fences AS (SELECT *, greatest((q3 - q1) * {FENCE}, least) AS width FROM quartiles),
-outside AS (
-  SELECT DISTINCT rid FROM v JOIN fences
-  ON v.lang IS NOT DISTINCT FROM fences.lang AND v.source IS NOT DISTINCT FROM fences.source AND v.measure = fences.measure
-  WHERE v.v < q1 - width OR v.v > q3 + width)
+fences AS (
+  SELECT lvl, l, s, measure, total,
+    CASE WHEN total >= {MIN_DOCS} THEN 2 * lowest - middle ELSE q25 - greatest((q75 - q25) * {FENCE}, least) END AS low,
+    CASE WHEN total >= {MIN_DOCS} THEN 2 * highest - middle ELSE q75 + greatest((q75 - q25) * {FENCE}, least) END AS high
+  FROM marks),
+judged AS (
+  SELECT rid, b, low, high FROM scoped JOIN fences USING (lvl, l, s, measure) WHERE total >= {MIN_DOCS} OR lvl = 0
+  QUALIFY row_number() OVER (PARTITION BY rid, measure ORDER BY lvl DESC) = 1),
+outside AS (SELECT DISTINCT rid FROM judged WHERE b < low OR b > high)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND outside.rid IS NULL AS kept
 FROM f LEFT JOIN outside USING (rid)

@@ -3,7 +3,11 @@
 Each group keeps a mergeable sketch per measure: counts of values in bins that
 hold the value to seven significant bits. Sketches of parts of the data add
 up to the sketch of all of it, so they are built before the shuffle. A document
-fails where a measure lies far outside the middle half of its own group.
+fails where a measure lies beyond the outermost hundredth of its group by more
+than that hundredth's own distance from the median. A group of fewer than
+``MIN_DOCS`` documents merges its sketch with those of its language, and if
+these are too few, of all documents; only a corpus smaller than that is judged
+by its middle half with a least width.
 """
 
 from __future__ import annotations
@@ -14,9 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Measures per thousand (integers, so that every engine bins them alike) and the least width of the accepted range.
+#: Measures per thousand (integers, so that every engine bins them alike) and the least width of the accepted range
+#: in a corpus of fewer than ``MIN_DOCS`` documents.
 MEASURES = {"word_chars": 2000, "n_symbols": 100, "n_dup_lines": 100, "n_repeat_words": 100}
-#: Half widths of the middle half that an accepted value may lie beyond it.
+#: Hundredths of a sketch below and above which its tails begin.
+TAILS = (1, 99)
+#: Documents that pass the base rules, from which on a tail of one hundredth holds at least one of them.
+MIN_DOCS = 100
+#: Widths of the middle half that an accepted value may lie beyond it in a smaller corpus.
 FENCE = 6
 BITS = 7
 
@@ -87,10 +96,6 @@ def _per_thousand(measure: str) -> str:
     return f"({measure} * 1000 div greatest(n_words, 1))"
 
 
-def per_thousand(measure: str) -> Column:
-    return F.expr(_per_thousand(measure))
-
-
 def bin_of(measure: str) -> Column:
     """Lower end of the bin: the value with all but its first ``BITS`` bits set to zero."""
     value = _per_thousand(measure)
@@ -98,44 +103,72 @@ def bin_of(measure: str) -> Column:
     return F.expr(f"{step} * ({value} div {step})")
 
 
+def _scope(group: list[str]) -> Column:
+    """Key of a document's own group; its beginnings are the keys of the groups around it. Null is a group of its own."""
+    keys = [F.coalesce(F.concat(F.lit("="), F.col(g).cast("string")), F.lit("")) for g in group]
+    return F.array(*keys) if keys else F.array().cast("array<string>")
+
+
+def _around(scope: str) -> Column:
+    """Keys of a group and of the groups around it, up to all documents (the empty key)."""
+    return F.transform(F.sequence(F.lit(0), F.size(scope)), lambda n: F.slice(scope, F.lit(1), n))
+
+
 def sketches(measured: DataFrame, group: list[str]) -> DataFrame:
-    """``group, measure, bin, n``: mergeable by adding ``n`` of equal bins. Documents that fail the base rules are left out."""
-    bins = F.array(
-        *(F.struct(F.lit(m).alias("measure"), bin_of(m).alias("bin")) for m in MEASURES)
-    )
-    rows = measured.where(~F.col("base_failed")).select(*group, F.explode(bins).alias("s"))
-    return rows.groupBy(*group, "s.measure", "s.bin").agg(F.count(F.lit(1)).alias("n"))
+    """``scope, measure, bin, n`` of each group and of the groups around it.
+
+    Mergeable by adding ``n`` of equal bins: the wider sketches are sums of the
+    narrower ones. Documents that fail the base rules are left out.
+    """
+    bins = F.array(*(F.struct(F.lit(m).alias("measure"), bin_of(m).alias("bin")) for m in MEASURES))
+    rows = measured.where(~F.col("base_failed")).select(_scope(group).alias("own"), F.explode(bins).alias("s"))
+    own = rows.groupBy("own", "s.measure", "s.bin").agg(F.count(F.lit(1)).alias("n"))
+    wider = own.select(F.explode(_around("own")).alias("scope"), "measure", "bin", "n")
+    return wider.groupBy("scope", "measure", "bin").agg(F.sum("n").alias("n"))
 
 
-def fences(sketch: DataFrame, group: list[str]) -> DataFrame:
-    """``group, measure, low, high`` from the quartiles of each sketch."""
-    whole = Window.partitionBy(*group, "measure")
+def limits(sketch: DataFrame) -> DataFrame:
+    """``scope, measure, total, low, high``: the bins that each sketch accepts, ends included."""
+    whole = Window.partitionBy("scope", "measure")
     # A window holds the bins of one sketch, at most 64 * 64 of them.
-    ranked = sketch.withColumns(
-        {"upto": F.sum("n").over(whole.orderBy("bin")), "total": F.sum("n").over(whole)}
-    )
-    quartile = lambda k: F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("bin")))
-    found = ranked.groupBy(*group, "measure").agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
+    ranked = sketch.withColumns({"upto": F.sum("n").over(whole.orderBy("bin")), "total": F.sum("n").over(whole)})
+    rank = lambda k: F.min(F.when(F.col("upto") * 100 >= F.col("total") * k, F.col("bin")))
+    marks = {"q25": 25, "middle": 50, "q75": 75, "first": TAILS[0], "last": TAILS[1]}
+    found = ranked.groupBy("scope", "measure").agg(F.first("total").alias("total"), *(rank(k).alias(c) for c, k in marks.items()))
     least = reduce(lambda c, m: c.when(F.col("measure") == m, MEASURES[m]), MEASURES, F).otherwise(0)
-    width = F.greatest((F.col("q3") - F.col("q1")) * FENCE, least)
-    return found.select(*group, "measure", (F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high"))
+    width = F.greatest((F.col("q75") - F.col("q25")) * FENCE, least)
+    enough = F.col("total") >= MIN_DOCS
+    low = F.when(enough, F.col("first") * 2 - F.col("middle")).otherwise(F.col("q25") - width)
+    high = F.when(enough, F.col("last") * 2 - F.col("middle")).otherwise(F.col("q75") + width)
+    return found.select("scope", "measure", "total", low.alias("low"), high.alias("high"))
+
+
+def group_limits(measured: DataFrame, group: list[str]) -> DataFrame:
+    """One row per group: its key ``_scope``, ``_docs`` behind its limits, and ``_<measure>_low`` and ``_high``.
+
+    The limits are those of the narrowest sketch around the group that holds
+    ``MIN_DOCS`` documents, or of all documents.
+    """
+    wide = limits(sketches(measured, group)).groupBy("scope").agg(
+        F.first("total").alias("_docs"),
+        *(F.max(F.when(F.col("measure") == m, F.col(e))).alias(f"_{m}_{e}") for m in MEASURES for e in ("low", "high")),
+    )
+    values = F.struct(*(c for c in wide.columns if c != "scope"))
+    usable = wide.where((F.col("_docs") >= MIN_DOCS) | (F.size("scope") == 0)).select("scope", values.alias("limits"))
+    groups = wide.where(F.size("scope") == len(group)).select(F.col("scope").alias("_scope"))
+    near = groups.select("_scope", F.explode(_around("_scope")).alias("scope")).join(usable, "scope")
+    chosen = near.groupBy("_scope").agg(F.max_by("limits", F.size("scope")).alias("limits"))
+    return chosen.select("_scope", "limits.*")
 
 
 def apply_rules(measured: DataFrame, group: list[str] = ["lang", "source"]) -> DataFrame:  # noqa: B006
-    """Append ``kept``: false if the base rules fail or a measure lies outside the fences of its group.
+    """Append ``kept``: false if the base rules fail or a measure lies outside the limits of its group.
 
     Null is a group of its own. A group whose documents all fail the base rules
     has no sketch and keeps none.
     """
-    limits = fences(sketches(measured, group), group)
     # One row per group; groups are few, and hot ones were added up before the shuffle.
-    key = [F.coalesce(F.concat(F.lit("="), F.col(g).cast("string")), F.lit("")).alias(f"_{g}") for g in group]
-    wide = limits.groupBy(*group).agg(
-        *(F.max(F.when(F.col("measure") == m, F.col(e))).alias(f"_{m}_{e}") for m in MEASURES for e in ("low", "high"))
-    )
-    wide = wide.select(*key, *(c for c in wide.columns if c not in group))
-    keys = [f"_{g}" for g in group]
-    joined = measured.select("*", *key).join(wide, keys, "left")
-    inside = [per_thousand(m).between(F.col(f"_{m}_low"), F.col(f"_{m}_high")) for m in MEASURES]
+    joined = measured.withColumn("_scope", _scope(group)).join(group_limits(measured, group), "_scope", "left")
+    inside = [bin_of(m).between(F.col(f"_{m}_low"), F.col(f"_{m}_high")) for m in MEASURES]
     kept = ~F.col("base_failed") & F.coalesce(reduce(lambda a, b: a & b, inside), F.lit(False))
     return joined.select(*(c for c in measured.columns if c.lower() != "kept"), kept.alias("kept"))

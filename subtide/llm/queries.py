@@ -57,7 +57,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
-    return found.select("doc_id", "licence", F.round("dice", 6).alias("dice"), "n_units")
+    return found.select("doc_id", "licence", F.round("dice", 6).alias("dice"), "n_units", "n_windows")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,14 +167,54 @@ def test_licences_equal_all_pairs(spark):
             scores = [(-_dice(words, t), n) for n, t in known.items() if len(words) > 1 and len(t) > 1]
             scores = [s for s in scores if -s[0] >= licences.THRESHOLD]
             hits += [min(scores)] if scores else []
-        dice, licence = min(hits, default=(0.0, ""))
-        assert (row.licence, row.n_units) == (licence, len(hits))
+        words = _words(text) if len(text) < 20_000 else []
+        windows = [(-_dice(words[p : p + len(t)], t), n) for n, t in known.items() for p in range(len(words) - len(t) + 1)]
+        windows = [w for w in windows if -w[0] >= licences.THRESHOLD]
+        dice, licence = min(hits + windows, default=(0.0, ""))
+        assert (row.licence, row.n_units, row.n_windows) == (licence, len(hits), len(windows))
         assert row.dice == pytest.approx(-dice)
         found += bool(hits)
     assert found >= len(known) + 3
     assert licences.scan(empty(spark)).count() == 0
 
 
+def test_licences_wrapped_commented_and_edited(spark):
+    """Recall over every template: wrapped at 72 columns behind comment marks, with a word in twenty changed, amid 80 lines of code."""
+    import textwrap
+
+    code = "\n".join(f"value_{n} = compute(value_{n - 1}, {n})" for n in range(80))
+    texts, names = [], []
+    for name, template in licences.TEMPLATES.items():
+        words = template.split()
+        edited = [f"other{n}" if n % 20 == 10 and len(words) > 20 else w for n, w in enumerate(words)]
+        for mark in ("# ", " * ", "// ", "-- "):
+            for body in (words, edited):
+                notice = "\n".join(mark + line for line in textwrap.wrap("Copyright 2024 Somebody. " + " ".join(body), 72))
+                texts += [notice + "\n" + code, code + "\n" + notice + "\n" + code]
+                names += [name, name]
+    texts.append(code)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in licences.scan(docs).collect()}
+    matcher = licences.Matcher(licences.TEMPLATES, licences.THRESHOLD)
+    found = [matcher.windows(text.encode())[1][1] != "" for text in texts[:-1]]
+    assert sum(found) / len(found) >= 0.95
+    # Some templates are contained in longer ones: the family must agree.
+    same = [rows[n].licence.split()[0] == name.split()[0] for n, name in enumerate(names)]
+    assert sum(same) / len(same) >= 0.95
+    assert rows[len(texts) - 1].licence == "" and rows[len(texts) - 1].n_windows == 0
+
+
+def test_licence_windows_slide_like_counting_anew():
+    coded = [int(c) for c in np.random.default_rng(3).integers(-1, 4, 300)]
+    counts = [2, 1, 0, 3, 0]
+    starts = [0, 1, 2, 9, 10, 40, 41, 290]
+    expected = []
+    for p in starts:
+        own = Counter(c for c in coded[p : p + 10] if c >= 0)
+        expected.append(sum(min(n, counts[c]) for c, n in own.items()))
+    assert licences.shared_bigrams(coded, counts, 10, starts) == expected
+
+
 # --- 4: decontamination ------------------------------------------------------
 
 
@@ -325,6 +365,56 @@ def test_viterbi_finds_the_best_path(field):
     assert field.label([]) == []
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<p title="a > b">hi</p>', "hi"),
+        ('<a href="u?a<b">y</a>', "y"),
+        ("<p title='x>\"y'>z</p>", "z"),
+        ('<p class=a">x</p>', "x"),
+        ('<p title="abc>text</p>', "text"),
+        ("<p>1 < 2</p>", "1 < 2"),
+    ],
+)
+def test_html_quoted_attributes(page, text):
+    assert [b.text for b in html_crf.blocks_of(page)] == [text]
+
+
+def test_html_best_labels_and_gradient_by_all_labellings():
+    """Viterbi against every labelling, and the fitted weights at a maximum of the penalised likelihood counted the same way."""
+    from itertools import product
+
+    pages = []
+    for words, labels in (("menu|One sentence, with commas.|more text here.|end", [0, 1, 1, 0]), ("a|b c d e f g.|h", [0, 1, 0])):
+        blocks = [html_crf.Block(t, 0, ("in p", f"name n{n % 2}")) for n, t in enumerate(words.split("|"))]
+        pages.append((blocks, labels))
+    model = html_crf.fit(pages)
+
+    def score(model, blocks, labels):
+        own = sum(sum(model.weights.get(f, 0.0) for f in names) for names, y in zip(html_crf.features(blocks), labels) if y)
+        return own + sum(model.pairs[a, b] for a, b in zip(labels, labels[1:]))
+
+    def loss(model):
+        total = 0.0
+        for blocks, labels in pages:
+            every = [score(model, blocks, y) for y in product((0, 1), repeat=len(blocks))]
+            total += (np.logaddexp.reduce(every) - score(model, blocks, labels)) / len(pages)
+        values = [*model.weights.values(), *model.pairs.ravel()]
+        return total + html_crf.DECAY / 2 * sum(v * v for v in values)
+
+    for blocks, _ in pages:
+        best = max(product((0, 1), repeat=len(blocks)), key=lambda y: score(model, blocks, y))
+        assert score(model, blocks, model.label(blocks)) == pytest.approx(score(model, blocks, best))
+    at = loss(model)
+    for name in list(model.weights)[:8]:
+        slope = []
+        for step in (1e-4, -1e-4):
+            moved = html_crf.Field({**model.weights, name: model.weights[name] + step}, model.pairs)
+            slope.append(loss(moved))
+        assert abs(slope[0] - slope[1]) / 2e-4 < 0.02
+    assert at < loss(html_crf.Field({}, np.zeros((2, 2))))
+
+
 def test_html_without_pages_to_learn_from(spark):
     none = spark.createDataFrame([], "page_id long, html string")
     assert html_crf.extract(none, html_crf.train(none)).count() == 0
@@ -421,6 +511,43 @@ def test_rules_adapt_to_each_group(spark):
     assert len(kept) == 61
 
 
+def _bin(value):
+    drop = max(value.bit_length() - quality_rules.BITS, 0)
+    return value >> drop << drop
+
+
+def test_limits_equal_brute_force(spark):
+    """Groups large enough by themselves, through their language and through the whole corpus only."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for lang, source, n, width in (("en", "web", 400, 4), ("en", None, 30, 9), ("de", "web", 20, 6), (None, "a", 15, 5)):
+        for _ in range(n):
+            words = ["x" * int(rng.integers(1, 2 * width)) + "#" * int(rng.random() < rng.random() / 4) for _ in range(int(rng.integers(40, 130)))]
+            lines = [" ".join(words[i : i + 10]) for i in range(0, len(words), 10)]
+            rows.append((len(rows), "\n".join(lines + lines[: int(rng.integers(0, 2))]), lang, source))
+    planted = range(len(rows), len(rows) + 3)
+    rows += [(n, " ".join(f"##a{i}" for i in range(60)), "en", "web") for n in planted]
+    measured = quality_rules.with_measures(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    got = {r.doc_id: r for r in quality_rules.apply_rules(measured).collect()}
+    passing = [r for r in got.values() if not r.base_failed]
+    binned = lambda r, m: _bin(r[m] * 1000 // max(r.n_words, 1))
+    by_sketch = 0
+    for row in got.values():
+        wider = [[r for r in passing if (r.lang, r.source) == (row.lang, row.source)], [r for r in passing if r.lang == row.lang], passing]
+        chosen = next((g for g in wider if len(g) >= quality_rules.MIN_DOCS), passing)
+        inside = True
+        for measure in quality_rules.MEASURES:
+            values = sorted(binned(r, measure) for r in chosen)
+            at = lambda k: values[-(-len(values) * k // 100) - 1]  # noqa: E731,B023
+            inside &= 2 * at(1) - at(50) <= binned(row, measure) <= 2 * at(99) - at(50)
+        assert row.kept == (inside and not row.base_failed)
+        by_sketch += not inside and not row.base_failed
+    assert not any(got[n].kept for n in planted)
+    assert len(planted) <= by_sketch < 0.08 * len(passing)
+    assert len({tuple(r) for r in quality_rules.group_limits(measured, ["lang", "source"]).select("_docs").collect()}) == 3
+    assert quality_rules.group_limits(measured, []).count() == 1
+
+
 def test_rules_on_awkward_and_empty_tables(spark, docs):
     rows = quality_rules.apply_rules(quality_rules.with_measures(docs)).collect()
     assert len(rows) == docs.count()

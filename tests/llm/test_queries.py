@@ -18,7 +18,7 @@ SMALL = "/root/testdata/sf0.01"
 COLUMNS = {
     "op1_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op2_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
-    "op3_licences": ["doc_id", "licence", "dice", "n_units"],
+    "op3_licences": ["doc_id", "licence", "dice", "n_units", "n_windows"],
     "op4_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op5_simhash": ["doc_id", "fingerprint", "component_id"],
     "op6_html": ["page_id", "url", "text", "n_chars"],
