@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from subtide.llm.licences import TEMPLATES, THRESHOLD
-from subtide.llm.quality_rules import BITS, FENCE, MEASURES, MIN_DOCS, TAILS
+from subtide.llm.quality_rules import BITS, FENCE, MEASURES, MIN_DOCS, ROUNDS, TAILS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -84,6 +84,32 @@ _PER_THOUSAND = ", ".join(
     f"('{m}', {m} * 1000 // greatest(n_words, 1), {least})" for m, least in MEASURES.items()
 )
 
+
+
+def _round(n: int) -> str:
+    """Limits from the documents that all limits of the round before accept, and the documents outside of them."""
+    return f"""
+ranked{n} AS (
+  SELECT *, row_number() OVER (PARTITION BY lvl, l, s, measure ORDER BY b) AS rn,
+    count(*) OVER (PARTITION BY lvl, l, s, measure) AS total FROM scoped ANTI JOIN outside{n - 1} USING (rid)),
+marks{n} AS (
+  SELECT lvl, l, s, measure, least, total, min(b) FILTER (rn * 100 >= total * 25) AS q25,
+    min(b) FILTER (rn * 100 >= total * 50) AS middle, min(b) FILTER (rn * 100 >= total * 75) AS q75,
+    min(b) FILTER (rn * 100 >= total * {TAILS[0]}) AS lowest, min(b) FILTER (rn * 100 >= total * {TAILS[1]}) AS highest
+  FROM ranked{n} GROUP BY ALL),
+fences{n} AS (
+  SELECT lvl, l, s, measure, total,
+    CASE WHEN total < {MIN_DOCS} THEN q25 - greatest((q75 - q25) * {FENCE}, least)
+      WHEN q75 > q25 THEN q25 - (q75 - q25) * {FENCE} ELSE 2 * lowest - middle END AS low,
+    CASE WHEN total < {MIN_DOCS} THEN q75 + greatest((q75 - q25) * {FENCE}, least)
+      WHEN q75 > q25 THEN q75 + (q75 - q25) * {FENCE} ELSE 2 * highest - middle END AS high
+  FROM marks{n}),
+judged{n} AS (
+  SELECT rid, b, low, high FROM scoped JOIN fences{n} USING (lvl, l, s, measure) WHERE total >= {MIN_DOCS} OR lvl = 0
+  QUALIFY row_number() OVER (PARTITION BY rid, measure ORDER BY lvl DESC) = 1),
+outside{n} AS (SELECT DISTINCT rid FROM judged{n} WHERE b < low OR b > high)"""
+
+
 QUALITY_RULES = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -114,26 +140,11 @@ scoped AS (
   SELECT rid, measure, least, step * (v // step) AS b, lvl,
     CASE WHEN lvl > 0 THEN coalesce('=' || lang, '') ELSE '' END AS l, CASE WHEN lvl > 1 THEN coalesce('=' || source, '') ELSE '' END AS s
   FROM bins, (VALUES (0), (1), (2)) AS levels(lvl)),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY lvl, l, s, measure ORDER BY b) AS rn,
-    count(*) OVER (PARTITION BY lvl, l, s, measure) AS total FROM scoped),
-marks AS (
-  SELECT lvl, l, s, measure, least, total, min(b) FILTER (rn * 100 >= total * 25) AS q25,
-    min(b) FILTER (rn * 100 >= total * 50) AS middle, min(b) FILTER (rn * 100 >= total * 75) AS q75,
-    min(b) FILTER (rn * 100 >= total * {TAILS[0]}) AS lowest, min(b) FILTER (rn * 100 >= total * {TAILS[1]}) AS highest
-  FROM ranked GROUP BY ALL),
-fences AS (
-  SELECT lvl, l, s, measure, total,
-    CASE WHEN total >= {MIN_DOCS} THEN 2 * lowest - middle ELSE q25 - greatest((q75 - q25) * {FENCE}, least) END AS low,
-    CASE WHEN total >= {MIN_DOCS} THEN 2 * highest - middle ELSE q75 + greatest((q75 - q25) * {FENCE}, least) END AS high
-  FROM marks),
-judged AS (
-  SELECT rid, b, low, high FROM scoped JOIN fences USING (lvl, l, s, measure) WHERE total >= {MIN_DOCS} OR lvl = 0
-  QUALIFY row_number() OVER (PARTITION BY rid, measure ORDER BY lvl DESC) = 1),
-outside AS (SELECT DISTINCT rid FROM judged WHERE b < low OR b > high)
+outside0 AS (SELECT NULL::BIGINT AS rid WHERE false),
+{", ".join(_round(n) for n in range(1, ROUNDS + 1))}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND outside.rid IS NULL AS kept
-FROM f LEFT JOIN outside USING (rid)
+  NOT base_failed AND outside{ROUNDS}.rid IS NULL AS kept
+FROM f LEFT JOIN outside{ROUNDS} USING (rid)
 """
 
 SQL = {

@@ -3,11 +3,15 @@
 Each group keeps a mergeable sketch per measure: counts of values in bins that
 hold the value to seven significant bits. Sketches of parts of the data add
 up to the sketch of all of it, so they are built before the shuffle. A document
-fails where a measure lies beyond the outermost hundredth of its group by more
-than that hundredth's own distance from the median. A group of fewer than
-``MIN_DOCS`` documents merges its sketch with those of its language, and if
-these are too few, of all documents; only a corpus smaller than that is judged
-by its middle half with a least width.
+fails where a measure lies ``FENCE`` widths of the middle half of its group
+beyond that half. A measure that is alike in all of the middle half (most texts
+hold no symbols) has no such width; there the limit lies beyond the outermost
+hundredth by that hundredth's own distance from the median. Bad documents widen
+the sketches, so a second round takes them from the documents that the first
+round accepts, and judges all documents anew. A group of fewer than ``MIN_DOCS``
+documents merges its sketch with those of its language, and if these are too
+few, of all documents; only in a corpus smaller than that the width has a fixed
+least value.
 """
 
 from __future__ import annotations
@@ -23,10 +27,11 @@ from pyspark.sql.window import Window
 MEASURES = {"word_chars": 2000, "n_symbols": 100, "n_dup_lines": 100, "n_repeat_words": 100}
 #: Hundredths of a sketch below and above which its tails begin.
 TAILS = (1, 99)
-#: Documents that pass the base rules, from which on a tail of one hundredth holds at least one of them.
+#: Documents from which on a tail of one hundredth holds at least one of them.
 MIN_DOCS = 100
-#: Widths of the middle half that an accepted value may lie beyond it in a smaller corpus.
-FENCE = 6
+#: Widths of the middle half that an accepted value may lie beyond it.
+FENCE = 3
+ROUNDS = 2
 BITS = 7
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -118,11 +123,13 @@ def sketches(measured: DataFrame, group: list[str]) -> DataFrame:
     """``scope, measure, bin, n`` of each group and of the groups around it.
 
     Mergeable by adding ``n`` of equal bins: the wider sketches are sums of the
-    narrower ones. Documents that fail the base rules are left out.
+    narrower ones. Documents that fail the base rules are left out; those that a
+    former round does not keep add nothing to ``n``, but keep their group listed.
     """
     bins = F.array(*(F.struct(F.lit(m).alias("measure"), bin_of(m).alias("bin")) for m in MEASURES))
-    rows = measured.where(~F.col("base_failed")).select(_scope(group).alias("own"), F.explode(bins).alias("s"))
-    own = rows.groupBy("own", "s.measure", "s.bin").agg(F.count(F.lit(1)).alias("n"))
+    counted = F.col("kept").cast("long") if "kept" in measured.columns else F.lit(1).cast("long")
+    rows = measured.where(~F.col("base_failed")).select(_scope(group).alias("own"), counted.alias("counted"), F.explode(bins).alias("s"))
+    own = rows.groupBy("own", "s.measure", "s.bin").agg(F.sum("counted").alias("n"))
     wider = own.select(F.explode(_around("own")).alias("scope"), "measure", "bin", "n")
     return wider.groupBy("scope", "measure", "bin").agg(F.sum("n").alias("n"))
 
@@ -136,10 +143,11 @@ def limits(sketch: DataFrame) -> DataFrame:
     marks = {"q25": 25, "middle": 50, "q75": 75, "first": TAILS[0], "last": TAILS[1]}
     found = ranked.groupBy("scope", "measure").agg(F.first("total").alias("total"), *(rank(k).alias(c) for c, k in marks.items()))
     least = reduce(lambda c, m: c.when(F.col("measure") == m, MEASURES[m]), MEASURES, F).otherwise(0)
+    least = F.when(F.col("total") < MIN_DOCS, least).otherwise(0)
     width = F.greatest((F.col("q75") - F.col("q25")) * FENCE, least)
-    enough = F.col("total") >= MIN_DOCS
-    low = F.when(enough, F.col("first") * 2 - F.col("middle")).otherwise(F.col("q25") - width)
-    high = F.when(enough, F.col("last") * 2 - F.col("middle")).otherwise(F.col("q75") + width)
+    alike = (F.col("total") >= MIN_DOCS) & (F.col("q25") == F.col("q75"))
+    low = F.when(alike, F.col("first") * 2 - F.col("middle")).otherwise(F.col("q25") - width)
+    high = F.when(alike, F.col("last") * 2 - F.col("middle")).otherwise(F.col("q75") + width)
     return found.select("scope", "measure", "total", low.alias("low"), high.alias("high"))
 
 
@@ -154,21 +162,30 @@ def group_limits(measured: DataFrame, group: list[str]) -> DataFrame:
         *(F.max(F.when(F.col("measure") == m, F.col(e))).alias(f"_{m}_{e}") for m in MEASURES for e in ("low", "high")),
     )
     values = F.struct(*(c for c in wide.columns if c != "scope"))
-    usable = wide.where((F.col("_docs") >= MIN_DOCS) | (F.size("scope") == 0)).select("scope", values.alias("limits"))
+    usable = wide.where((F.col("_docs") >= MIN_DOCS) | (F.size("scope") == 0) & (F.col("_docs") > 0)).select("scope", values.alias("limits"))
     groups = wide.where(F.size("scope") == len(group)).select(F.col("scope").alias("_scope"))
     near = groups.select("_scope", F.explode(_around("_scope")).alias("scope")).join(usable, "scope")
     chosen = near.groupBy("_scope").agg(F.max_by("limits", F.size("scope")).alias("limits"))
     return chosen.select("_scope", "limits.*")
 
 
-def apply_rules(measured: DataFrame, group: list[str] = ["lang", "source"]) -> DataFrame:  # noqa: B006
+def _judged(measured: DataFrame, found: DataFrame, group: list[str]) -> DataFrame:
+    # One row per group; groups are few, and hot ones were added up before the shuffle.
+    joined = measured.withColumn("_scope", _scope(group)).join(found, "_scope", "left")
+    inside = [bin_of(m).between(F.col(f"_{m}_low"), F.col(f"_{m}_high")) for m in MEASURES]
+    kept = ~F.col("base_failed") & F.coalesce(reduce(lambda a, b: a & b, inside), F.lit(True))
+    return joined.select(*measured.columns, kept.alias("kept"))
+
+
+def apply_rules(measured: DataFrame, group: list[str] = ["lang", "source"], rounds: int = ROUNDS) -> DataFrame:  # noqa: B006
     """Append ``kept``: false if the base rules fail or a measure lies outside the limits of its group.
 
-    Null is a group of its own. A group whose documents all fail the base rules
-    has no sketch and keeps none.
+    Null is a group of its own. A group of which the first round keeps nothing is
+    judged by the groups around it; where that leaves nothing at all, only the base
+    rules hold. ``measured`` is read twice a round; write it first if it is costly.
     """
-    # One row per group; groups are few, and hot ones were added up before the shuffle.
-    joined = measured.withColumn("_scope", _scope(group)).join(group_limits(measured, group), "_scope", "left")
-    inside = [bin_of(m).between(F.col(f"_{m}_low"), F.col(f"_{m}_high")) for m in MEASURES]
-    kept = ~F.col("base_failed") & F.coalesce(reduce(lambda a, b: a & b, inside), F.lit(False))
-    return joined.select(*(c for c in measured.columns if c.lower() != "kept"), kept.alias("kept"))
+    plain = measured.select(*(c for c in measured.columns if c.lower() != "kept"))
+    out = _judged(plain, group_limits(plain, group), group)
+    for _ in range(rounds - 1):
+        out = _judged(plain, group_limits(out, group), group)
+    return out

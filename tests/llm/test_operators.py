@@ -531,23 +531,43 @@ def test_limits_equal_brute_force(spark):
     got = {r.doc_id: r for r in quality_rules.apply_rules(measured).collect()}
     passing = [r for r in got.values() if not r.base_failed]
     binned = lambda r, m: _bin(r[m] * 1000 // max(r.n_words, 1))
-    by_sketch = 0
-    for row in got.values():
-        wider = [[r for r in passing if (r.lang, r.source) == (row.lang, row.source)], [r for r in passing if r.lang == row.lang], passing]
-        chosen = next((g for g in wider if len(g) >= quality_rules.MIN_DOCS), passing)
-        inside = True
-        for measure in quality_rules.MEASURES:
-            values = sorted(binned(r, measure) for r in chosen)
-            at = lambda k: values[-(-len(values) * k // 100) - 1]  # noqa: E731,B023
-            inside &= 2 * at(1) - at(50) <= binned(row, measure) <= 2 * at(99) - at(50)
-        assert row.kept == (inside and not row.base_failed)
-        by_sketch += not inside and not row.base_failed
+
+    def judged(accepted):
+        out, found = set(), {}
+        for row in passing:
+            own = (row.lang, row.source)
+            if own not in found:
+                wider = [[r for r in accepted if (r.lang, r.source) == own], [r for r in accepted if r.lang == row.lang]]
+                chosen = next((g for g in wider if len(g) >= quality_rules.MIN_DOCS), accepted)
+                found[own] = {}
+                for measure in quality_rules.MEASURES:
+                    values = sorted(binned(r, measure) for r in chosen)
+                    q = {k: values[-(-len(values) * k // 100) - 1] for k in (1, 25, 50, 75, 99)}
+                    width = quality_rules.FENCE * (q[75] - q[25])
+                    found[own][measure] = (q[25] - width, q[75] + width) if width else (2 * q[1] - q[50], 2 * q[99] - q[50])
+            if all(low <= binned(row, m) <= high for m, (low, high) in found[own].items()):
+                out.add(row.doc_id)
+        return out
+
+    first = judged(passing)
+    kept = judged([r for r in passing if r.doc_id in first])
+    assert {n for n, r in got.items() if r.kept} == kept
+    by_sketch = len(passing) - len(kept)
     assert not any(got[n].kept for n in planted)
-    assert len(planted) <= by_sketch < 0.08 * len(passing)
+    assert by_sketch >= len(planted)
     assert len({tuple(r) for r in quality_rules.group_limits(measured, ["lang", "source"]).select("_docs").collect()}) == 3
     assert quality_rules.group_limits(measured, []).count() == 1
 
 
+def test_rules_judge_a_wholly_rejected_group_by_those_around_it(spark):
+    clean = [(n, " ".join(f"w{n}x{i:0{2 + (n + i) % 5}}" for i in range(80)), "en", "web") for n in range(150)]
+    odd = [(150 + n, " ".join(f"{'#' * 9}{n}x{i}" for i in range(80)), "xx", "odd") for n in range(3)]
+    docs = spark.createDataFrame(clean + odd, "doc_id long, text string, lang string, source string")
+    rows = quality_rules.apply_rules(quality_rules.with_measures(docs)).collect()
+    assert len(rows) == 153
+    assert {r.doc_id for r in rows if not r.kept} == {150, 151, 152}
+
+
 def test_rules_on_awkward_and_empty_tables(spark, docs):
     rows = quality_rules.apply_rules(quality_rules.with_measures(docs)).collect()
     assert len(rows) == docs.count()
