@@ -302,7 +302,7 @@ def rearranged(rng, main: list[str], other: list[str], foreign: list[str]) -> tu
     kinds = list(OTHER_NAMES)
     before = [k for k in ("notice", "header", "nav", "ad", "form", "aside") if rng.random() < 0.5]
     after = [k for k in ("share", "ad", "aside", "comments", "form", "notice", "footer") if rng.random() < 0.5]
-    inside = pick(kinds) if rng.random() < 0.5 else ""
+    inside = pick([*kinds, "comments", "comments", "ad"]) if rng.random() < 0.6 else ""
     for kind in before:
         put(surround(kind)[0])
     body, cut = [], int(rng.integers(1, len(main) + 1)) if main else 0
@@ -326,8 +326,53 @@ def rearranged(rng, main: list[str], other: list[str], foreign: list[str]) -> tu
     return whole.replace(' data-main="1"', ""), labels
 
 
+def without_names(rng, main: list[str], other: list[str], foreign: list[str]) -> tuple[str, list[int]]:
+    """A page without class names or telling tags; what surrounds the text is told apart by links and by its wording."""
+    pick = lambda items: items[rng.integers(len(items))] if len(items) else "more"
+    escaped = lambda text: html.escape(text, quote=False)
+    short = lambda text: " ".join(text.split()[: int(rng.integers(1, 9))])
+    n_links = lambda: int(rng.integers(1, 8))
+
+    def wrapped(tag: str, inner: str) -> str:
+        return f"<table><tr><td>{inner}</td></tr></table>" if tag == "td" else f"<{tag}>{inner}</{tag}>" if tag else inner
+
+    def surround(kind: str) -> str:
+        if kind == "links":
+            item = ["<li>{}</li>", "<div>{}</div>", "{} ", "<p>{}</p>"][rng.integers(4)]
+            inner = "".join(item.format(f'<a href="/x">{escaped(short(pick(other + foreign)))}</a>') for _ in range(n_links()))
+            inner = f"<ul>{inner}</ul>" if item.startswith("<li") else inner
+        elif kind == "advert":
+            inner = f'<a href="/x">{escaped(pick(other))}</a>'
+        elif kind == "rights":
+            inner = f"<p>© {rng.integers(1990, 2030)} {escaped(short(pick(other)))}</p>"
+        elif kind == "form":
+            inner = f"<form><label>{escaped(short(pick(other)))}</label><input><button>{escaped(short(pick(other)))}</button></form>"
+        else:
+            inner = "".join(f"<p>{escaped(short(pick(other + foreign)))}</p>" for _ in range(n_links()))
+        return wrapped(["div", "div", "section", "td"][rng.integers(4)], inner)
+
+    tags = ["p", "p", "div"][rng.integers(3)]
+    body = []
+    for n, text in enumerate(main):
+        tag = "h1" if n == 0 and rng.random() < 0.4 else tags
+        body.append(f'<{tag} data-main="1">{escaped(text)}</{tag}>')
+    if rng.random() < 0.5:
+        body.insert(int(rng.integers(0, len(body) + 1)), surround(pick(["advert", "links"])))
+    kinds = ["links", "advert", "rights", "form", "replies"]
+    before = [surround(k) for k in ("links", "advert", "form") if rng.random() < 0.6]
+    after = [surround(k) for k in kinds if rng.random() < 0.4]
+    inner = wrapped(["div", "section", "td", ""][rng.integers(4)], "".join(body))
+    inner = wrapped(["div", "section", "", ""][rng.integers(4)], inner)
+    whole = f"<html><head><title>{escaped(pick(main or other))}</title></head><body>{''.join([*before, inner, *after])}</body></html>"
+    marked = blocks_of(whole.replace(' data-main="1"', ' class="zzmain"'))
+    return whole.replace(' data-main="1"', ""), [int("name zzmain" in b.above) for b in marked]
+
+
 def training_pages(sample: list[str], seed: int = 7) -> list[tuple[list[Block], list[int]]]:
-    """Labelled pages: the sampled ones as their markup labels them, and others made of their texts in other layouts."""
+    """Labelled pages: the sampled ones as their markup labels them, and three made of the texts of each.
+
+    Two have other layouts, one has neither class names nor telling tags.
+    """
     rng = np.random.default_rng(seed)
     given = []
     for page in sample:
@@ -339,8 +384,9 @@ def training_pages(sample: list[str], seed: int = 7) -> list[tuple[list[Block],
     out = list(labelled)
     for n, (blocks, y) in enumerate(labelled):
         other = [x.text for x, label in zip(blocks, y) if not label] or ["more"]
-        page, labels = rearranged(rng, mains[n], other, foreign)
-        out.append((blocks_of(page), labels))
+        for make in (rearranged, rearranged, without_names):
+            page, labels = make(rng, mains[n], other, foreign)
+            out.append((blocks_of(page), labels))
     return out
 
 
