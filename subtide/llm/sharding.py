@@ -4,25 +4,31 @@ How many rows go from each partition to each shard is drawn first: a
 multivariate hypergeometric matrix with the partition sizes as row sums and the
 shard sizes as column sums. Rows are permuted inside their partition and dealt
 out by those counts, then permuted again inside their shard. The result has the
-law of one uniform permutation of all rows.
+law of one uniform permutation of all rows. The matrix is drawn as a tree, for
+groups of partitions first and inside each group then, and written as a table
+group by group, so that neither the plan nor the driver holds all of it.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from subtide.session import materialized
+from subtide.session import materialized, new_scratch_folder
 
 #: Rows of a shard that are put in order together, on average.
 BUCKET_ROWS = 50_000
 
 
+#: Numbers of the matrix that the driver holds and writes at once.
+MATRIX_CELLS = 100_000
+
 #: numpy draws below this many rows; above, the same law is drawn by the ratio of uniforms.
 NUMPY_ROWS = 10**9
 
@@ -33,16 +39,21 @@ def draw_good(rng: np.random.Generator, good: int, bad: int, sample: int) -> int
     if total < NUMPY_ROWS:
         return int(rng.hypergeometric(good, bad, sample))
     low, high = max(0, sample - bad), min(good, sample)
-    ways = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
-    log_chance = lambda k: ways(good, k) + ways(bad, sample - k)
+    middle = min(high, max(low, (sample + 1) * (good + 1) // (total + 2)))
+
+    def log_chance(k: int) -> float:
+        """Logarithm of the chance of ``k`` over that of the likeliest number, from the ratios of neighbours."""
+        j = np.arange(min(k, middle), max(k, middle), dtype=float)
+        steps = float(np.log((good - j) * (sample - j) / ((j + 1) * (bad - sample + j + 1))).sum())
+        return steps if k > middle else -steps
+
     mean = sample * good / total
     spread = math.sqrt(mean * bad / total * (total - sample) / (total - 1) + 0.5)
     width = 2 * math.sqrt(2 / math.e) * spread + 3 - 2 * math.sqrt(3 / math.e)
-    top = log_chance(min(high, max(low, (sample + 1) * (good + 1) // (total + 2))))
     while True:
         u, v = 1 - rng.random(), rng.random()
         k = math.floor(mean + 0.5 + width * (v - 0.5) / u)
-        if low <= k <= high and 2 * math.log(u) <= log_chance(k) - top:
+        if low <= k <= high and 2 * math.log(u) <= log_chance(k):
             return k
 
 
@@ -58,7 +69,7 @@ def _draw_row(rng: np.random.Generator, left: np.ndarray, size: int) -> np.ndarr
     return out
 
 
-def communication_matrix(partition_rows: list[int], shard_rows: list[int], seed: int) -> np.ndarray:
+def communication_matrix(partition_rows: list[int], shard_rows: list[int], seed: int | list[int]) -> np.ndarray:
     """Rows that go from each partition (row) to each shard (column)."""
     rng = np.random.default_rng(seed)
     left = np.array(partition_rows, np.int64)
@@ -69,8 +80,21 @@ def communication_matrix(partition_rows: list[int], shard_rows: list[int], seed:
     return matrix
 
 
+def matrix_blocks(partition_rows: list[int], shard_rows: list[int], seed: int, cells: int = MATRIX_CELLS) -> Iterator[tuple[int, np.ndarray]]:
+    """The same law in blocks of at most ``cells`` numbers (one partition at least): first partition and matrix of each.
+
+    Rows of a group of partitions by shard are drawn first. Given these, the
+    partitions of the group are independent of all others.
+    """
+    own = max(1, cells // max(1, len(shard_rows)))
+    starts = range(0, len(partition_rows), own)
+    groups = communication_matrix([sum(partition_rows[s : s + own]) for s in starts], shard_rows, [seed, 0])
+    for n, start in enumerate(starts):
+        yield start, communication_matrix(partition_rows[start : start + own], groups[n].tolist(), [seed, 1, n])
+
+
 def _as_rows(spark, schema: str, rows: list[dict]) -> DataFrame:
-    """A small table that the plan carries as a literal."""
+    """A table of bounded size that the plan carries as a literal."""
     text = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")
     return spark.range(1).select(F.inline(text))
 
@@ -99,11 +123,14 @@ def assign(docs: DataFrame, shards: int, seed: int = 1, text_column: str = "text
     counted = sorted(tuple(row) for row in rows.groupBy("part").count().collect())
     total = sum(n for _, n in counted)
     sizes = [total // shards + (s < total % shards) for s in range(shards)]
-    matrix = communication_matrix([n for _, n in counted], sizes, seed)
-    ends = np.cumsum(matrix, axis=1)
-    plan = _as_rows(
-        spark, "part:int,ends:array<bigint>", [{"part": p, "ends": e.tolist()} for (p, _), e in zip(counted, ends)]
-    )
+    schema = "part int, ends array<bigint>"
+    folder = new_scratch_folder(spark, "matrix")
+    spark.createDataFrame([], schema).write.parquet(folder)
+    for start, block in matrix_blocks([n for _, n in counted], sizes, seed):
+        ends = np.cumsum(block, axis=1).tolist()
+        lines = [{"part": p, "ends": e} for (p, _), e in zip(counted[start:], ends)]
+        _as_rows(spark, "part:int,ends:array<bigint>", lines).write.mode("append").parquet(folder)
+    plan = spark.read.schema(schema).parquet(folder)
 
     # A window holds the narrow rows of one input partition.
     place = F.row_number().over(Window.partitionBy("part").orderBy("first", "row"))

@@ -445,6 +445,39 @@ def test_matrix_rows_and_columns_add_up():
         assert np.asarray(matrix).sum(axis=0).tolist() == [12] * 4
 
 
+@pytest.mark.parametrize("cells", [1, 9, 1000])
+def test_matrix_in_blocks_follows_the_same_law(cells):
+    rows, shards, runs = [6, 0, 9, 3, 12], [10, 10, 10], 3000
+    drawn = []
+    for seed in range(runs):
+        blocks = list(sharding.matrix_blocks(rows, shards, seed, cells))
+        assert [start for start, _ in blocks] == list(range(0, 5, max(1, cells // 3)))
+        drawn.append(np.vstack([block for _, block in blocks]))
+        assert drawn[-1].sum(axis=1).tolist() == rows and drawn[-1].sum(axis=0).tolist() == shards
+    for n, row in enumerate(rows):
+        assert np.mean([m[n, 1] for m in drawn]) == pytest.approx(row / 3, abs=0.12)
+        assert np.var([m[n, 1] for m in drawn]) == pytest.approx(row * 2 / 9 * (30 - row) / 29, rel=0.15, abs=1e-9)
+    # Two partitions share the places of a shard.
+    expected = -6 * 9 * 2 / 9 / 29
+    assert np.cov([m[0, 0] for m in drawn], [m[2, 0] for m in drawn])[0, 1] == pytest.approx(expected, abs=0.1)
+
+
+def test_shuffle_is_uniform_over_seeds(spark, monkeypatch):
+    """Rows of each partition over shards and slots, added up over seeds, against equal shares; several matrix blocks."""
+    monkeypatch.setattr(sharding, "matrix_blocks", lambda *a, f=sharding.matrix_blocks: f(*a, 16))
+    docs = spark.range(400).repartition(4).selectExpr("id AS doc_id", "concat('text ', id) AS text").cache()
+    part = {r.doc_id: r.p for r in docs.selectExpr("doc_id", "spark_partition_id() AS p").collect()}
+    where = Counter()
+    seeds = 5
+    for seed in range(seeds):
+        where.update((part[r.doc_id], r.shard, r.slot // 10) for r in sharding.assign(docs, 8, seed).collect())
+    assert where.total() == 400 * seeds
+    sizes = Counter(part.values())
+    chi = sum((where[p, s, k] - n * seeds / 40) ** 2 / (n * seeds / 40) for p, n in sizes.items() for s in range(8) for k in range(5))
+    # 160 cells with fixed sums: about 117 degrees of freedom.
+    assert 117 - 4 * (2 * 117) ** 0.5 < chi < 117 + 4 * (2 * 117) ** 0.5
+
+
 def test_large_draws_follow_the_same_law(monkeypatch):
     monkeypatch.setattr(sharding, "NUMPY_ROWS", 0)
     draws = [sharding.draw_good(np.random.default_rng(n), 30, 70, 20) for n in range(4000)]
