@@ -123,14 +123,14 @@ def assign(docs: DataFrame, shards: int, seed: int = 1, text_column: str = "text
     counted = sorted(tuple(row) for row in rows.groupBy("part").count().collect())
     total = sum(n for _, n in counted)
     sizes = [total // shards + (s < total % shards) for s in range(shards)]
-    schema = "part int, ends array<bigint>"
     folder = new_scratch_folder(spark, "matrix")
-    spark.createDataFrame([], schema).write.parquet(folder)
+    none = spark.range(0).select(F.col("id").cast("int").alias("part"), F.array("id").alias("ends"))
+    none.write.parquet(folder)
     for start, block in matrix_blocks([n for _, n in counted], sizes, seed):
         ends = np.cumsum(block, axis=1).tolist()
         lines = [{"part": p, "ends": e} for (p, _), e in zip(counted[start:], ends)]
         _as_rows(spark, "part:int,ends:array<bigint>", lines).write.mode("append").parquet(folder)
-    plan = spark.read.schema(schema).parquet(folder)
+    plan = spark.read.schema(none.schema).parquet(folder)
 
     # A window holds the narrow rows of one input partition.
     place = F.row_number().over(Window.partitionBy("part").orderBy("first", "row"))
