@@ -64,7 +64,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
+    """All stages over ``documents``; each result is written and read again.
+
+    Null texts count as empty; a null id is an id like any other. Of equal and
+    repeated rows one stays. Extra columns reach every stage but the last, names
+    that clash with its results included. Without labels nothing is learned, without
+    a benchmark nothing is contaminated, and an empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialized(stage(spark, docs, sf_dir), name)
