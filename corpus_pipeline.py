@@ -68,7 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Null texts count as empty; a null id is an id like any other. Of equal and
     repeated rows one stays. Extra columns reach every stage but the last, names
-    that clash with its results included. Without labels nothing is learned, without
+    that clash with its results included. Without labels both classifiers keep all, without
     a benchmark nothing is contaminated, and an empty table gives no rows.
     """
     docs = table(spark, sf_dir, "documents")
