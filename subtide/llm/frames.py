@@ -144,6 +144,18 @@ def held_out(id_column: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def known_labels(labels: DataFrame, label: str, id_column: str, rows: int | None = None) -> DataFrame:
+    """``_id, _label`` of every document outside the held-out part that has an id and a label of 0 or 1; of repeated ids one row counts.
+
+    ``rows`` keeps those with the smallest hash of the id, for trials on less; by default there is no bound.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull() & ~held_out(id_column)).select(
+        F.col(id_column).alias("_id"), F.col(label).cast("int").alias("_label")
+    )
+    known = known.groupBy("_id").agg(F.max("_label").alias("_label"))
+    return known if rows is None else known.orderBy(F.xxhash64("_id"), "_id").limit(rows)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, rows: int, text_column: str, id_column: str, group_column: str | None = None
 ) -> tuple[list[bytes], list[int], list[str | None]]:
