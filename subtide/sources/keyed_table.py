@@ -44,10 +44,11 @@ class State:
 
 @dataclass
 class KeyedTable:
-    """``buckets`` times ``files_per_bucket`` should give files of 0.2 to 1 GB.
+    """Buckets set how finely a table is rewritten.
 
-    Buckets set how finely a table is rewritten, files how many tasks write
-    one bucket. Keys are unique, so their hash fills both evenly. The number
+    A write deals its rows to ``buckets`` times ``files_per_bucket`` shares by
+    hash of the key; Spark cuts large shares to the advisory partition size and
+    joins small ones, so a task's memory does not grow with the batch. The number
     of buckets belongs to the written table: upserts keep the one it has, and
     ``overwrite`` or ``rebucket`` bring in another. A bucket that has
     ``max_parts`` folders is rewritten into one by the next upsert.
@@ -184,9 +185,11 @@ class KeyedTable:
         """Write rows by bucket; returns the buckets that got any."""
         folder = f"{self.path}/rows/part={part}"
         bucket = F.pmod(F.xxhash64(self.key), F.lit(buckets)).cast("int")
+        share = F.pmod(F.hash(self.key), F.lit(self.files_per_bucket))
         (
-            batch.withColumn("bucket", bucket)
-            .repartition(buckets * self.files_per_bucket, "bucket", F.pmod(F.hash(self.key), F.lit(self.files_per_bucket)))
+            batch.withColumns({"bucket": bucket, "_share": share})
+            .hint("rebalance", buckets * self.files_per_bucket, "bucket", "_share")
+            .drop("_share")
             .write.mode("overwrite")
             .partitionBy("bucket")
             .parquet(folder)

@@ -86,6 +86,22 @@ def test_newest_row_wins_on_request(spark, folder):
     assert contents(table) == [("a", 5), ("b", 9), ("c", 5), ("d", 1)]
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, folder):
+    table = KeyedTable(spark, folder, "k", buckets=1)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50000")
+    try:
+        rows = spark.range(0, 40_000, 1, 8).selectExpr("cast(id as string) AS k", "cast(id as int) AS v")
+        table.upsert(rows)
+        table.upsert(rows.where("v < 30000"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    for part in os.listdir(f"{folder}/rows"):
+        files = [f for f in os.listdir(f"{folder}/rows/{part}/bucket=0") if f.endswith(".parquet")]
+        assert len(files) > 2, part
+    assert contents(table) == sorted((str(n), n) for n in range(40_000))
+
+
 def write_lines(path, lines):
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with gzip.open(path, "wt") as out:
