@@ -18,7 +18,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -121,9 +121,11 @@ def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.
     ``ends_a`` and ``ends_b`` are the byte offsets where the tokens of either side end.
     """
     number_a, number_b = (dict(zip(ends.tolist(), range(1, len(ends) + 1))) for ends in (ends_a, ends_b))
-    # Ends that are keys of both; those of B come in order already, so sorting them is one look at each.
-    common = sorted(filter(number_a.__contains__, number_b))
-    return tuple(np.fromiter(map(number.__getitem__, common), np.int64, len(common)) for number in (number_a, number_b))
+    # The keys of B come in order already, so those that are keys of A as well do too. Numbers begin with 1: 0 is no key of A.
+    of_a = np.fromiter(map(number_a.get, number_b, repeat(0)), np.int64, len(number_b))
+    of_b = np.fromiter(number_b.values(), np.int64, len(number_b))
+    common = of_a > 0
+    return of_a[common], of_b[common]
 
 
 # --- a block of documents ----------------------------------------------------

@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -139,3 +140,12 @@ def test_query_equals_a_plain_loop(spark):
     rows = queries.op12_alignment(spark, SMALL)
     assert rows.columns == NAMES
     assert as_rows(rows) == sorted(expected([(r.doc_id, r.text) for r in docs.collect()]), key=str)
+
+
+def test_common_cuts_equal_the_sorted_intersection():
+    rng = np.random.default_rng(6)
+    for size in (0, 1, 5, 200):
+        ends_a, ends_b = (np.sort(rng.choice(300, size, replace=False) + 1) for _ in range(2))
+        want = sorted(set(ends_a.tolist()) & set(ends_b.tolist()))
+        cuts_a, cuts_b = alignment.common_cuts(ends_a, ends_b)
+        assert [ends_a[n - 1] for n in cuts_a] == want and [ends_b[n - 1] for n in cuts_b] == want
