@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 from subtide.operators.latest import latest_per_key
 from subtide.sources.files import read_if_exists
 
+EXCLUDED = "spark.sql.adaptive.optimizer.excludedRules"
+
 SNAPSHOT = T.StructType(
     [
         T.StructField("tag", T.StringType()),
@@ -186,14 +188,18 @@ class KeyedTable:
         folder = f"{self.path}/rows/part={part}"
         bucket = F.pmod(F.xxhash64(self.key), F.lit(buckets)).cast("int")
         share = F.pmod(F.hash(self.key), F.lit(self.files_per_bucket))
-        (
+        shares = (
             batch.withColumns({"bucket": bucket, "_share": share})
             .hint("rebalance", buckets * self.files_per_bucket, "bucket", "_share")
             .drop("_share")
-            .write.mode("overwrite")
-            .partitionBy("bucket")
-            .parquet(folder)
         )
+        # An empty batch must run too: what observes it would else see nothing.
+        excluded = self.spark.conf.get(EXCLUDED, None)
+        self.spark.conf.set(EXCLUDED, ",".join(filter(None, [excluded, "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"])))
+        try:
+            shares.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        finally:
+            self.spark.conf.unset(EXCLUDED) if excluded is None else self.spark.conf.set(EXCLUDED, excluded)
         written = read_if_exists(self.spark, folder, "parquet", T.StructType([T.StructField("bucket", T.IntegerType())]))
         return [] if written is None else [row.bucket for row in written.distinct().collect()]
 
