@@ -5,12 +5,20 @@ document with its id, its number of tokens, its place in the file set and the
 list of ids. Row groups have a chosen size and pages a chosen number of rows, so
 that the page index lets readers skip documents; ids are dictionary or delta
 encoded. The length columns can be read without touching the ids.
+
+Whole texts go through the tokenizers library. Its pre-tokens are made longer
+where that cannot change an id: a boundary that no token of the vocabulary spans
+is never joined by a merge, so several words may be one piece. That saves most of
+the library's work per piece; pieces stay short, because its merges sort the
+pairs of a piece.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -19,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
-from tokenizers import Tokenizer
+from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
 
 from subtide.llm.frames import append_columns, prepare_workers, texts_of
 from subtide.session import new_scratch_folder
@@ -35,6 +43,39 @@ FIELDS = [
     T.StructField("ids", T.ArrayType(T.IntegerType(), False), False),
 ]
 
+#: The pattern of byte-level pre-tokens, in which a run of letters goes on over up to 63 more, each after a space or line
+#: end with or without one stop before. The plain pattern begins a pre-token at each of these signs (at the letters after a
+#: line end too), so every piece is whole pre-tokens in a row. The bound keeps pieces short.
+PIECES = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}++(?>(?:[,.;:!?]?[ \n]\p{L}++){0,63})| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+
+#: Boundaries inside such pieces. Bytes of a token that are no whole sign decode to U+FFFD and may be part of a letter.
+INSIDE = r"[\p{L}\x{FFFD},.;:!?][ \n]|[\p{L}\x{FFFD}][,.;:!?]|\n[\p{L}\x{FFFD}]"
+
+PLAIN = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+
+
+def long_pieces(tokenizer: Tokenizer) -> bool:
+    """Let the pre-tokenizer make pieces of several words, if all ids stay the same for certain; tells whether they do.
+
+    They do for the plain byte-level pre-tokens, when no token spans a boundary inside a piece.
+    """
+    spec = json.loads(tokenizer.to_str())
+    own, model = spec["pre_tokenizer"] or {}, spec["model"]
+    merges_only = model["type"] == "BPE" and not any(
+        model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "fuse_unk")
+    )
+    if not merges_only or spec["normalizer"] or {key: own.get(key) for key in PLAIN} != PLAIN:
+        return False
+    # A zero sign is at no such boundary.
+    tokens = "\0".join(tokenizer.decoder.decode([token]) for token in tokenizer.get_vocab(with_added_tokens=False))
+    if normalizers.Replace(Regex(INSIDE), "").normalize_str(tokens) != tokens:
+        return False
+    byte_letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(PIECES), "isolated"), byte_letters])
+    return True
+
 
 @lru_cache(maxsize=2)
 def library(path: str) -> Tokenizer:
@@ -43,6 +84,7 @@ def library(path: str) -> Tokenizer:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    long_pieces(tokenizer)
     return tokenizer
 
 
@@ -63,7 +105,7 @@ def write_token_files(
     so each is encoded once and ids are never shuffled. Documents without an id
     come first, repeated ids are ordered by a hash of the text, which also parts
     them among tasks; a null text has only the end id. An empty table gives files
-    without rows. The library gets whole texts, those of a bounded batch at once.
+    without rows. The library gets whole texts, one at a time: what it holds of a text is dropped before the next.
     """
     rows = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text"))
     hashed = rows.withColumn("hash", F.xxhash64("text"))
@@ -74,13 +116,17 @@ def write_token_files(
 
         def compute(batch):
             nonlocal place
-            encoded = coder.encode_batch_fast(texts_of(batch, "text"), add_special_tokens=False)
-            lists = [np.array([*encoding.ids, end_id], np.int32) for encoding in encoded]
-            ids, lengths = np.concatenate(lists), np.array([len(own) for own in lists], np.int64)
-            ends = np.cumsum(lengths)
-            starts, place = place + ends - lengths, place + int(ends[-1])
-            offsets = np.concatenate([[0], ends]).astype(np.int32)
-            return [pa.array(lengths), pa.array(starts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))]
+            ids, ends = array("i"), []
+            for text in texts_of(batch, "text"):
+                # This call leaves out the places of tokens, which encode() would count.
+                ids.extend(coder.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+                ids.append(end_id)
+                ends.append(len(ids))
+            ends = np.array([0, *ends], np.int64)
+            lengths, starts = np.diff(ends), place + ends[:-1]
+            place += len(ids)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
+            return [pa.array(lengths), pa.array(starts), lists]
 
         return compute
 
